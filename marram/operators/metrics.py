@@ -73,19 +73,21 @@ def class_scores(counts: DataFrame) -> DataFrame:
 
 def classification_report(counts: DataFrame) -> DataFrame:
     """Class rows, then `accuracy`, `macro avg` and `weighted avg`, told apart by `kind`."""
-    one = F.lit(1).cast("long")
-    plain = [F.col("precision").alias("p"), F.col("recall").alias("r"), F.col("f1_score").alias("f")]
-    # tp / support summed with weight `support` is the accuracy: sum(tp) / sum(support).
-    share = _ratio(F.col("tp"), F.col("support"))
-    rows = class_scores(counts).select(
-        F.inline(F.array(
-            F.struct(F.lit("class").alias("kind"), F.col("label"), *plain, one.alias("w"), "support"),
-            F.struct(F.lit("average"), F.lit("accuracy"), share, share, share, F.col("support"), F.col("support")),
-            F.struct(F.lit("average"), F.lit("macro avg"), "precision", "recall", "f1_score", one, F.col("support")),
-            F.struct(F.lit("average"), F.lit("weighted avg"), "precision", "recall", "f1_score",
-                     F.col("support"), F.col("support")),
-        ))
-    )
+    def row(kind: str, label: Column, scores: tuple[Column, Column, Column], weight: Column) -> Column:
+        p, r, f = scores
+        return F.struct(F.lit(kind).alias("kind"), label.alias("label"), p.alias("p"), r.alias("r"),
+                        f.alias("f"), weight.alias("w"), F.col("support").alias("support"))
+
+    own = (F.col("precision"), F.col("recall"), F.col("f1_score"))
+    one, support = F.lit(1).cast("long"), F.col("support")
+    # tp / support averaged with weight `support` is sum(tp) / sum(support): the accuracy.
+    share = _ratio(F.col("tp"), support)
+    rows = class_scores(counts).select(F.inline(F.array(
+        row("class", F.col("label"), own, one),
+        row("average", F.lit("accuracy"), (share, share, share), support),
+        row("average", F.lit("macro avg"), own, one),
+        row("average", F.lit("weighted avg"), own, support),
+    )))
     mean = lambda c: _ratio(F.sum(F.col(c) * F.col("w")), F.sum("w"))
     return rows.groupBy("kind", "label").agg(
         mean("p").alias("precision"), mean("r").alias("recall"), mean("f").alias("f1_score"),

@@ -22,7 +22,7 @@ def predict_rows(parsed: DataFrame, scorer: Scorer, features: Sequence[str], cod
     return scored.select(
         request_id, "row_pos", *[quoted(f) for f in features],
         F.col("prediction").cast("long").alias("prediction"),
-        decode_label(F.col("prediction"), codes).alias("predicted_label"),
+        decode_label(F.col("prediction").cast("long"), codes).alias("predicted_label"),
     )
 
 

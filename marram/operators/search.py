@@ -6,6 +6,7 @@ import json
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
+from pyspark.ml import Pipeline
 from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -63,9 +64,13 @@ def grid_search(
     seed: int = DEFAULT_SEED,
     parallelism: int = 4,
     refit: bool = True,
+    preprocess: Pipeline | None = None,
 ) -> SearchResult:
     """Search on a table of (label, features, fold), best cached by the caller.
 
+    `preprocess` is for stages that learn from the rows, such as scaling: it is fitted on each
+    training fold anew, so held-out rows never leak into it. Leave it out when `features` is ready.
+
     Per fold the distinct settings are fitted side by side, then all of them are scored in a
     single pass over the held-out rows. Only scores reach the driver.
     """
@@ -77,10 +82,13 @@ def grid_search(
 
     rows = []
     for fold in range(folds):
-        train = prepared.where(F.col("fold") != fold)
+        train, held = prepared.where(F.col("fold") != fold), prepared.where(F.col("fold") == fold)
+        if preprocess is not None:
+            stages = preprocess.fit(train)
+            train, held = stages.transform(train), stages.transform(held)
         fits = [lambda s=s: build_forest(seed, **s).fit(train) for s in distinct]
         models = in_parallel(fits, parallelism)
-        got = accuracies(prepared.where(F.col("fold") == fold), models)
+        got = accuracies(held, models)
         rows += [(i, fold, got[place[i]]) for i in range(len(candidates))]
     scores = spark.createDataFrame(rows, "candidate_id int, fold int, score double")
     named = parameter_table(spark.createDataFrame(
@@ -90,6 +98,9 @@ def grid_search(
     results = cv_results(scores, folds)
     best = best_candidate(results).first()
     chosen = candidates[best.candidate_id]
-    model = build_forest(seed, **forest_settings(chosen)).fit(prepared) if refit else None
+    model = None
+    if refit:
+        whole = preprocess.fit(prepared).transform(prepared) if preprocess is not None else prepared
+        model = build_forest(seed, **forest_settings(chosen)).fit(whole)
     clean = {n.removeprefix("model__"): v for n, v in chosen.items()}
     return SearchResult(scores, named, results, clean, best.mean_test_score, model)
