@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,8 +84,9 @@ def parsed_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_payloads(event_requests(load(spark, sf_dir, "events")), "raw_data", EVENTS.features)
 
 
-def predicted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scoring.predict_rows(parsed_requests(spark, sf_dir), value_rule, EVENTS.features, EVENTS.codes, "event_id")
+def predicted_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.predict_requests(
+        parsed_requests(spark, sf_dir), value_rule, EVENTS.features, EVENTS.codes, "event_id")
 
 
 @query("parse_requests", f"""
@@ -132,9 +134,10 @@ def rejected_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _collected(spark: SparkSession, sf_dir: str, name: str) -> tuple[DataFrame, DataFrame]:
     """Write both collections of all requests, outputs of every ninth request lost on the way."""
     root = scratch_path(spark, name, sf_dir)
-    rows = predicted_rows(spark, sf_dir)
-    outputs = scoring.model_outputs(rows, "event_id").where(F.col("correlation_id") % 9 != 0)
-    write_collection(scoring.model_inputs(rows, EVENTS.features, "event_id"), outputs, root, 0)
+    predicted = predicted_requests(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+    outputs = scoring.model_outputs(predicted, "event_id").where(F.col("correlation_id") % 9 != 0)
+    write_collection(scoring.model_inputs(predicted, EVENTS.features, "event_id"), outputs, root, 0)
+    predicted.unpersist()
     return read_collection(spark, root)
 
 

@@ -91,8 +91,13 @@ def parse_payloads(df: DataFrame, raw: str, features: Sequence[str]) -> DataFram
 
 
 def request_rows(parsed: DataFrame, features: Sequence[str], keep: Sequence[str]) -> DataFrame:
-    """Valid requests as typed rows: (keep…, row_pos, features…)."""
-    good = parsed.where(F.col("error_code") == 0)
-    return good.select(*keep, F.posexplode("rows").alias("row_pos", "__row")).select(
-        *keep, "row_pos", *[F.col("__row")[i].alias(f) for i, f in enumerate(features)]
+    """Requests as typed rows (keep…, row_pos, features…); a rejected one is one row without row_pos.
+
+    Rejected requests stay in line, with zeros for features, so that parsing happens once for both
+    outcomes: a filter on the parse result would be pushed below it and parse every body again.
+    """
+    opened = parsed.select(*keep, F.posexplode_outer("rows").alias("row_pos", "__row"))
+    return opened.select(
+        *keep, "row_pos",
+        *[F.coalesce(F.get("__row", F.lit(i)), F.lit(0.0)).alias(f) for i, f in enumerate(features)],
     )

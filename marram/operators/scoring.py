@@ -15,33 +15,41 @@ from marram.functions.payload import parse_payloads, request_rows
 Scorer = Callable[[DataFrame], DataFrame]
 
 
-def predict_rows(parsed: DataFrame, scorer: Scorer, features: Sequence[str], codes: Mapping[str, int],
-                 request_id: str) -> DataFrame:
-    """(request id, row_pos, features…, prediction, predicted_label) of the valid requests."""
-    scored = scorer(request_rows(parsed, features, [request_id]))
+def predict_requests(parsed: DataFrame, scorer: Scorer, features: Sequence[str], codes: Mapping[str, int],
+                     request_id: str) -> DataFrame:
+    """(request id, error_code, error, row_pos, features…, prediction, predicted_label).
+
+    A rejected request is one row without `row_pos`, prediction and label.
+    """
+    scored = scorer(request_rows(parsed, features, [request_id, "error_code", "error"]))
+    valid = F.col("row_pos").isNotNull()
+    code = F.col("prediction").cast("long")
     return scored.select(
-        request_id, "row_pos", *[quoted(f) for f in features],
-        F.col("prediction").cast("long").alias("prediction"),
-        decode_label(F.col("prediction").cast("long"), codes).alias("predicted_label"),
+        request_id, "error_code", "error", "row_pos", *[quoted(f) for f in features],
+        F.when(valid, code).alias("prediction"),
+        F.when(valid, decode_label(code, codes)).alias("predicted_label"),
     )
 
 
-def responses(predicted: DataFrame, parsed: DataFrame, request_id: str) -> DataFrame:
+def predicted_rows(predicted: DataFrame) -> DataFrame:
+    """The rows of valid requests."""
+    return predicted.where(F.col("row_pos").isNotNull()).drop("error_code", "error")
+
+
+def responses(predicted: DataFrame, request_id: str) -> DataFrame:
     """One row per request: ordered predictions and labels, or the error.
 
     A response is one document, so its rows meet again; its size is bounded by the request body,
-    itself a single value. Rejected requests skip the shuffle.
+    itself a single value.
     """
-    each = F.struct("row_pos", "prediction", "predicted_label")
-    good = predicted.groupBy(request_id).agg(F.sort_array(F.collect_list(each)).alias("each")).select(
-        request_id, F.col("each.prediction").alias("predictions"),
-        F.col("each.predicted_label").alias("predicted_labels"), F.lit(None).cast("string").alias("error"),
-    )
-    bad = rejected(parsed, request_id).select(
-        request_id, F.lit(None).cast("array<bigint>").alias("predictions"),
-        F.lit(None).cast("array<string>").alias("predicted_labels"), "error",
+    each = F.when(F.col("row_pos").isNotNull(), F.struct("row_pos", "prediction", "predicted_label"))
+    whole = predicted.groupBy(request_id).agg(
+        F.sort_array(F.collect_list(each)).alias("each"), F.max("error").alias("error"))
+    good = F.col("error").isNull()
+    return whole.select(
+        request_id, F.when(good, F.col("each.prediction")).alias("predictions"),
+        F.when(good, F.col("each.predicted_label")).alias("predicted_labels"), "error",
     )
-    return good.unionByName(bad)
 
 
 def rejected(parsed: DataFrame, request_id: str, *more: str) -> DataFrame:
@@ -51,7 +59,7 @@ def rejected(parsed: DataFrame, request_id: str, *more: str) -> DataFrame:
 def score_requests(df: DataFrame, raw: str, scorer: Scorer, features: Sequence[str],
                    codes: Mapping[str, int], request_id: str) -> DataFrame:
     parsed = parse_payloads(df, raw, features)
-    return responses(predict_rows(parsed, scorer, features, codes, request_id), parsed, request_id)
+    return responses(predict_requests(parsed, scorer, features, codes, request_id), request_id)
 
 
 def response_json(answered: DataFrame, request_id: str) -> DataFrame:
@@ -60,11 +68,13 @@ def response_json(answered: DataFrame, request_id: str) -> DataFrame:
 
 
 def model_inputs(predicted: DataFrame, features: Sequence[str], request_id: str) -> DataFrame:
-    return predicted.select(F.col(request_id).alias("correlation_id"), "row_pos", *[quoted(f) for f in features])
+    return predicted_rows(predicted).select(
+        F.col(request_id).alias("correlation_id"), "row_pos", *[quoted(f) for f in features])
 
 
 def model_outputs(predicted: DataFrame, request_id: str) -> DataFrame:
-    return predicted.select(F.col(request_id).alias("correlation_id"), "row_pos", "prediction", "predicted_label")
+    return predicted_rows(predicted).select(
+        F.col(request_id).alias("correlation_id"), "row_pos", "prediction", "predicted_label")
 
 
 def correlate(inputs: DataFrame, outputs: DataFrame) -> DataFrame:

@@ -36,11 +36,11 @@ def stream_scores(
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        parsed = parse_payloads(batch, raw, features).persist(StorageLevel.MEMORY_AND_DISK)
-        predicted = scoring.predict_rows(parsed, scorer, features, codes, request_id).persist(
+        parsed = parse_payloads(batch, raw, features)
+        predicted = scoring.predict_requests(parsed, scorer, features, codes, request_id).persist(
             StorageLevel.MEMORY_AND_DISK)
         try:
-            answers = scoring.responses(predicted, parsed, request_id)
+            answers = scoring.responses(predicted, request_id)
             answers.write.mode("overwrite").parquet(f"{root}/responses/batch_id={batch_id}")
             try:
                 write_collection(scoring.model_inputs(predicted, features, request_id),
@@ -51,7 +51,6 @@ def stream_scores(
                 log.warning("collection of batch %s failed: %s", batch_id, error)
         finally:
             predicted.unpersist()
-            parsed.unpersist()
 
     return (
         requests.writeStream.foreachBatch(handle)
