@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from marram.functions.features import quoted
 from marram.functions.hashing import poisson_one, unit_interval
-from marram.operators.forest import accuracies, build_forest, forest_settings, in_parallel
+from marram.operators.forest import accuracies, add_predictions, build_forest, forest_settings, in_parallel
 from marram.operators.splits import DEFAULT_SEED
 
 
@@ -21,7 +21,7 @@ def learning_curve_scores(
     folds: int = 5,
     steps: int = 5,
     seed: int = DEFAULT_SEED,
-    parallelism: int = 4,
+    parallelism: int = 8,
 ) -> DataFrame:
     """(fold, step, train_rows, train_score, validation_score) from (label, features, fold, prefix_steps)."""
     settings = forest_settings(params)
@@ -40,9 +40,7 @@ def learning_curve_scores(
 
 def _nested_accuracies(df: DataFrame, first_step, models: list) -> list[tuple[int, float]]:
     """Rows and accuracy of model i on sample i; samples are nested, so one pass serves all."""
-    for i, model in enumerate(models):
-        model.setPredictionCol(f"__p{i}").setProbabilityCol("").setRawPredictionCol("")
-        df = model.transform(df)
+    df = add_predictions(df, models)
     aggs = []
     for i in range(len(models)):
         inside = first_step <= i + 1
@@ -79,7 +77,7 @@ def oob_curve(
     *,
     classes: int,
     seed: int = DEFAULT_SEED,
-    parallelism: int = 4,
+    parallelism: int = 8,
     sizes: Sequence[int] | None = None,
 ) -> DataFrame:
     """(n_trees, n_scored, n_unscored, oob_error) from (key, label, features).

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marram.functions.features import quoted
-from marram.operators.ranking import range_edges, rows_at_rank, with_range_bucket
+from marram.operators.ranking import range_edges_of, rows_at_rank, with_range_bucket
 
 
 def unpivot_features(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
@@ -32,25 +33,34 @@ def numeric_profile(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return wide.select(F.inline(F.array(*[F.col(f"f{i}") for i in range(len(features))])))
 
 
-def exact_quantiles(df: DataFrame, feature: str, probs: Sequence[float], buckets: int | None = None) -> DataFrame:
-    """Discrete quantiles: the smallest value with at least prob * n rows at or below it.
+def exact_quantiles(df: DataFrame, features: Sequence[str], probs: Sequence[float],
+                    buckets: int | None = None) -> DataFrame:
+    """(feature, prob, value): the smallest value with at least prob * n rows at or below it.
 
-    Value ranges are counted, and only the ranges that hold a wanted rank are read again.
+    Value ranges are counted for all features in one pass, and only the ranges that hold a wanted
+    rank are read again. Columns are never sorted.
     """
-    values = df.select(quoted(feature).cast("double").alias("value")).where(F.col("value").isNotNull())
-    total = values.count()
-    if total == 0:
-        return df.sparkSession.createDataFrame([], "feature string, prob double, value double")
-    edges = range_edges(values, F.col("value"), buckets)
-    placed = with_range_bucket(values, F.col("value"), edges, "__range")
-    want = {p: max(1, _ceil_rank(p, total)) for p in probs}
-    found = rows_at_rank(placed, want, bucket="__range", order=["value"])
-    return found.select(F.lit(feature).alias("feature"), F.col("target").alias("prob"), "value")
+    spark = df.sparkSession
+    values = {f: quoted(f).cast("double") for f in features}
+    sizes = df.agg(*[F.count(v).alias(f"n{i}") for i, v in enumerate(values.values())]).first()
+    wanted = [(f, p, _ceil_rank(p, sizes[i])) for i, f in enumerate(features) for p in probs if sizes[i]]
+    if not wanted:
+        return spark.createDataFrame([], "feature string, prob double, value double")
+    edges = range_edges_of(df, values, buckets)
+    placed = df.select(*[v.alias(f"v{i}") for i, v in enumerate(values.values())])
+    for i, f in enumerate(features):
+        placed = with_range_bucket(placed, F.col(f"v{i}"), edges[f], f"b{i}")
+    tall = placed.select(F.inline(F.array(*[
+        F.struct(F.lit(f).alias("feature"), F.col(f"b{i}").alias("range"), F.col(f"v{i}").alias("value"))
+        for i, f in enumerate(features)
+    ]))).where(F.col("value").isNotNull())
+    targets = spark.createDataFrame(wanted, "feature string, target double, want long")
+    found = rows_at_rank(tall, targets, group=["feature"], bucket="range", order=["value"])
+    return found.select("feature", F.col("target").alias("prob"), "value")
 
 
 def _ceil_rank(prob: float, total: int) -> int:
-    rank = int(prob * total)
-    return rank if rank >= prob * total else rank + 1
+    return max(1, math.ceil(prob * total))
 
 
 def feature_profile(df: DataFrame, features: Sequence[str], probs: Sequence[float] = (0.25, 0.5, 0.75),
@@ -64,11 +74,7 @@ def feature_profile(df: DataFrame, features: Sequence[str], probs: Sequence[floa
             *[F.percentile_approx(F.col("value").cast("double"), p, 10_000).alias(n) for p, n in names.items()]
         )
         return base.join(marks, "feature")
-    parts = [exact_quantiles(df, f, probs) for f in features]
-    tall = parts[0]
-    for part in parts[1:]:
-        tall = tall.unionByName(part)
-    wide = tall.groupBy("feature").agg(
+    wide = exact_quantiles(df, features, probs).groupBy("feature").agg(
         *[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(n) for p, n in names.items()]
     )
     return base.join(wide, "feature")

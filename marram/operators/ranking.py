@@ -28,26 +28,34 @@ def small_side(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
     that made them from running again. Beyond it the side is returned as it was and Spark joins
     it by shuffle.
     """
-    rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
+    held = df.limit(limit + 1).toArrow()
+    if held.num_rows > limit:
         return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+    return F.broadcast(df.sparkSession.createDataFrame(held, df.schema))
 
 
 def range_edges(df: DataFrame, order: Column, buckets: int | None = None) -> list[float]:
-    """Inner edges that cut a numeric order into roughly equal buckets.
+    """Inner edges that cut a numeric order into roughly equal buckets."""
+    return range_edges_of(df, {"v": order}, buckets)["v"]
+
+
+def range_edges_of(df: DataFrame, orders: Mapping[str, Column], buckets: int | None = None) -> dict[str, list[float]]:
+    """Edges for several orders at once.
 
     Edges come from a row sample of bounded size. They set only how evenly the work is spread;
     every row still takes part and every result is the same for any edges.
     """
     buckets = buckets or bucket_target(df.sparkSession)
-    values = df.select(order.cast("double").alias("v")).where(F.col("v").isNotNull())
+    values = df.select(*[c.cast("double").alias(f"v{i}") for i, c in enumerate(orders.values())])
     share = min(1.0, EDGE_SAMPLE_ROWS / max(values.count(), 1))
     if share < 1.0:
         values = values.sample(withReplacement=False, fraction=share, seed=17)
     grid = [i / buckets for i in range(1, buckets)]
-    found = values.agg(F.percentile_approx("v", grid, 10 * buckets).alias("e")).first().e
-    return sorted({e for e in found or [] if e == e and abs(e) != float("inf")})
+    row = values.agg(*[
+        F.percentile_approx(f"v{i}", grid, 10 * buckets).alias(f"v{i}") for i in range(len(orders))
+    ]).first()
+    finite = lambda found: sorted({e for e in found or [] if e == e and abs(e) != float("inf")})
+    return {name: finite(row[f"v{i}"]) for i, name in enumerate(orders)}
 
 
 def with_range_bucket(df: DataFrame, order: Column, edges: Sequence[float], out: str) -> DataFrame:

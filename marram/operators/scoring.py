@@ -53,7 +53,14 @@ def responses(predicted: DataFrame, request_id: str) -> DataFrame:
 
 
 def rejected(parsed: DataFrame, request_id: str, *more: str) -> DataFrame:
-    return parsed.where(F.col("error_code") != 0).select(request_id, "error_code", "error", *more)
+    """Rejected requests with code and message.
+
+    The verdict passes through a generator, below which the filter cannot sink: else every body
+    would be parsed in the filter and once more after it.
+    """
+    verdict = F.struct("error_code", "error")
+    judged = parsed.select(request_id, *more, F.inline(F.array(verdict)))
+    return judged.where(F.col("error_code") != 0).select(request_id, "error_code", "error", *more)
 
 
 def score_requests(df: DataFrame, raw: str, scorer: Scorer, features: Sequence[str],

@@ -62,7 +62,7 @@ def grid_search(
     grid: Mapping[str, Iterable] | None = None,
     folds: int = 5,
     seed: int = DEFAULT_SEED,
-    parallelism: int = 4,
+    parallelism: int = 8,
     refit: bool = True,
     preprocess: Pipeline | None = None,
 ) -> SearchResult:

@@ -182,17 +182,17 @@ def with_prefix_steps(
     cuts = rows_at_rank(members, wanted, group=["valid_fold"], bucket="__p", order=["__h", key]).collect()
     if not cuts:
         return df.withColumn(out, F.array_repeat(F.lit(None).cast("int"), folds))
+    # Written out as comparisons of plain columns, the steps compile; lambdas over a list would not.
     key_type = df.schema[key].dataType
-    listed = F.array(*[
-        F.struct(F.lit(c.valid_fold).alias("f"), F.lit(c.target).alias("step"),
-                 F.struct(F.lit(c["__h"]).alias("h"), F.lit(c[key]).cast(key_type).alias("k")).alias("at"))
-        for c in sorted(cuts, key=lambda c: (c.valid_fold, c.target))
-    ])
-    position = _position(key)
-    step_in = lambda f: F.array_min(F.transform(
-        F.filter(listed, lambda c: (c["f"] == f) & (c["at"] >= position)), lambda c: c["step"]))
-    steps = F.transform(F.sequence(F.lit(0), F.lit(folds - 1)),
-                        lambda f: F.when(f != quoted(fold), step_in(f)))
+    steps = []
+    for f in range(folds):
+        step = F.lit(None).cast("int")
+        for cut in sorted((c for c in cuts if c.valid_fold == f), key=lambda c: -c.target):
+            below = (F.col("__h") < cut["__h"]) | (
+                (F.col("__h") == cut["__h"]) & (quoted(key) <= F.lit(cut[key]).cast(key_type)))
+            step = F.when(below, F.lit(cut.target)).otherwise(step)
+        steps.append(F.when(quoted(fold) != f, step))
+    steps = F.array(*steps)
     return digested.withColumn(out, steps).drop("__p", "__h")
 
 

@@ -43,7 +43,7 @@ class TrainEvaluate:
     data_seed: int = DEFAULT_SEED
     model_seed: int = DEFAULT_SEED
     use_scaling: bool = False
-    parallelism: int = 4
+    parallelism: int = 8
     curves: bool = True
     data_input: str = "builtin_or_default"
     started: datetime = field(default_factory=datetime.now)
