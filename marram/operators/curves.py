@@ -29,7 +29,7 @@ def learning_curve_scores(
     for fold in range(folds):
         first_step = F.col("prefix_steps")[fold]
         samples = [prepared.where(first_step <= step) for step in range(1, steps + 1)]
-        models = in_parallel([lambda s=s: build_forest(seed, **settings).fit(s) for s in samples], parallelism)
+        models = in_parallel(prepared.sparkSession, [lambda s=s: build_forest(seed, **settings).fit(s) for s in samples], parallelism)
         valid = accuracies(prepared.where(F.col("fold") == fold), models)
         train = _nested_accuracies(prepared.where(first_step.isNotNull()), first_step, models)
         rows += [(fold, i + 1, *train[i], valid[i]) for i in range(steps)]
@@ -96,7 +96,7 @@ def oob_curve(
         grower = build_forest(seed + tree, numTrees=1, bootstrap=False, weightCol="__w", **settings)
         return grower.fit(bag)
 
-    models = in_parallel([lambda t=t: fit(t) for t in range(trees)], parallelism)
+    models = in_parallel(prepared.sparkSession, [lambda t=t: fit(t) for t in range(trees)], parallelism)
     scored = prepared
     for i, model in enumerate(models):
         model.setProbabilityCol(f"__q{i}").setPredictionCol("").setRawPredictionCol("")

@@ -7,8 +7,8 @@ from concurrent.futures import ThreadPoolExecutor
 from itertools import product
 
 from pyspark import inheritable_thread_target
-from pyspark.ml.classification import RandomForestClassifier
-from pyspark.sql import DataFrame
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marram.functions.features import quoted
@@ -49,10 +49,27 @@ def forest_settings(params: Mapping[str, object]) -> dict[str, int]:
     }
 
 
+class ForestModel(RandomForestClassificationModel):
+    """The library's model; `trees` is read on request only.
+
+    As a cached attribute it is taken for a parameter, and every parameter lookup then wraps all
+    trees in Python objects, which costs more than fitting small forests.
+    """
+
+    @property
+    def trees(self) -> list:
+        return RandomForestClassificationModel.trees.func(self)
+
+
+class Forest(RandomForestClassifier):
+    def _create_model(self, java_model) -> ForestModel:
+        return ForestModel(java_model)
+
+
 def build_forest(seed: int = DEFAULT_SEED, *, features_col: str = "features", label_col: str = "label",
-                 **settings: object) -> RandomForestClassifier:
+                 **settings: object) -> Forest:
     deep = int(settings.get("maxDepth", 5)) > 10
-    return RandomForestClassifier(
+    return Forest(
         featuresCol=features_col, labelCol=label_col, seed=seed, impurity="gini",
         featureSubsetStrategy="sqrt", cacheNodeIds=deep, checkpointInterval=10,
         **{"numTrees": DEFAULT_TREES, **settings},
@@ -79,10 +96,11 @@ def training_table(df: DataFrame, key: str, label: str, classes: int | None, *ke
     return narrow.repartition(shuffle_width(df.sparkSession), quoted(key)).sortWithinPartitions(quoted(key))
 
 
-def in_parallel(calls: Iterable[Callable[[], object]], workers: int) -> list:
+def in_parallel(spark: SparkSession, calls: Iterable[Callable[[], object]], workers: int) -> list:
     """Run independent driver calls side by side, so small fits fill the cluster together."""
+    wrap = inheritable_thread_target(spark)
     with ThreadPoolExecutor(max_workers=max(1, workers)) as pool:
-        futures = [pool.submit(inheritable_thread_target(call)) for call in calls]
+        futures = [pool.submit(wrap(call)) for call in calls]
         return [f.result() for f in futures]
 
 

@@ -8,7 +8,7 @@ are ever sorted together. Results are exact and do not depend on the number of b
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -136,6 +136,8 @@ def rows_at_rank(
     group: Sequence[str] = (),
     bucket: str,
     order: Sequence[str],
+    cells: DataFrame | None = None,
+    widen: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """The order values found at wanted ranks, without sorting the table.
 
@@ -143,9 +145,13 @@ def rows_at_rank(
     no group. Bucket counts tell which bucket holds each wanted rank; only the rows of those
     buckets are read again, folded to distinct order values with their counts, and ranked.
     Returns (group…, target, order…).
+
+    For overlapping groups, `cells` gives the counts (group…, bucket, n) and `widen` spreads rows
+    over their groups; it is applied to the rows of the needed buckets only.
     """
     names = list(group)
-    cells = df.groupBy(*names, bucket).agg(F.count(F.lit(1)).alias("n"))
+    if cells is None:
+        cells = df.groupBy(*names, bucket).agg(F.count(F.lit(1)).alias("n"))
     upto = Window.partitionBy(*names).orderBy(bucket).rowsBetween(Window.unboundedPreceding, 0)
     spans = cells.withColumn("upto", F.sum("n").over(upto))
     start = F.col("upto") - F.col("n")
@@ -159,7 +165,10 @@ def rows_at_rank(
     hit = small_side(hit.select(*names, bucket, "target", (F.col("want") - start).alias("left")))
     cell = [*names, bucket]
 
-    near = df.join(small_side(hit.select(*cell).distinct()), cell, "left_semi")
+    near = df
+    if widen is not None:
+        near = widen(df.join(small_side(hit.select(bucket).distinct()), bucket, "left_semi"))
+    near = near.join(small_side(hit.select(*cell).distinct()), cell, "left_semi")
     folded = near.groupBy(*cell, *order).agg(F.count(F.lit(1)).alias("n"))
     inside = Window.partitionBy(*cell).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     ranked = folded.withColumn("upto", F.sum("n").over(inside))

@@ -87,7 +87,7 @@ def grid_search(
             stages = preprocess.fit(train)
             train, held = stages.transform(train), stages.transform(held)
         fits = [lambda s=s: build_forest(seed, **s).fit(train) for s in distinct]
-        models = in_parallel(fits, parallelism)
+        models = in_parallel(spark, fits, parallelism)
         got = accuracies(held, models)
         rows += [(i, fold, got[place[i]]) for i in range(len(candidates))]
     scores = spark.createDataFrame(rows, "candidate_id int, fold int, score double")

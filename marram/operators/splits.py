@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from marram.functions.features import quoted
 from marram.functions.hashing import prefix_digits, seeded_md5
-from marram.operators.ranking import rows_at_rank, small_side
+from marram.operators.ranking import SMALL_ROWS, rows_at_rank, small_side
 from marram.session import bucket_target
 
 DEFAULT_SEED = 5901  # fixed value: the default seed of splits and models
@@ -168,18 +168,23 @@ def with_prefix_steps(
     of the first training fold), one size list for all folds. Rows are never multiplied.
     """
     digested = _digested(df, key, seed, digits)
-    counts = {r["f"]: r["n"] for r in df.groupBy(quoted(fold).alias("f")).agg(F.count(F.lit(1)).alias("n"))
-              .where(F.col("f").between(0, folds - 1)).limit(folds).collect()}
-    total = sum(counts.values())
-    sizes = sample_sizes(total - counts.get(0, 0), fractions)
-    targets = [(f, step, min(n, total - counts.get(f, 0))) for f in range(folds)
+    others = lambda: F.explode(F.filter(
+        F.sequence(F.lit(0), F.lit(folds - 1)), lambda f: f != quoted(fold))).alias("valid_fold")
+    # Counts per (fold, prefix) first; spreading them over the training folds is then a small step.
+    counts = digested.groupBy(quoted(fold), "__p").agg(F.count(F.lit(1)).alias("n"))
+    counts = small_side(counts, limit=SMALL_ROWS * folds)
+    cells = counts.select(others(), "__p", "n").groupBy("valid_fold", "__p").agg(F.sum("n").alias("n"))
+    have = {r.valid_fold: r.n for r in cells.groupBy("valid_fold").agg(F.sum("n").alias("n")).collect()}
+    sizes = sample_sizes(have.get(0, 0), fractions)
+    targets = [(f, step, min(n, have.get(f, 0))) for f in range(folds)
                for step, n in enumerate(sizes, start=1)]
     wanted = df.sparkSession.createDataFrame(
         [t for t in targets if t[2] > 0], "valid_fold int, target int, want long")
-    others = F.filter(F.sequence(F.lit(0), F.lit(folds - 1)), lambda f: f != quoted(fold))
-    members = digested.select("__p", "__h", quoted(key), F.explode(others).alias("valid_fold"))
     # At most folds x fractions cut points: plain constants from here on.
-    cuts = rows_at_rank(members, wanted, group=["valid_fold"], bucket="__p", order=["__h", key]).collect()
+    cuts = rows_at_rank(
+        digested.select("__p", "__h", quoted(key), quoted(fold)), wanted, group=["valid_fold"], bucket="__p",
+        order=["__h", key], cells=cells, widen=lambda rows: rows.select("__p", "__h", quoted(key), others()),
+    ).collect()
     if not cuts:
         return df.withColumn(out, F.array_repeat(F.lit(None).cast("int"), folds))
     # Written out as comparisons of plain columns, the steps compile; lambdas over a list would not.
