@@ -168,7 +168,7 @@ def with_prefix_steps(
     of the first training fold), one size list for all folds. Rows are never multiplied.
     """
     digested = _digested(df, key, seed, digits)
-    others = lambda: F.explode(F.filter(
+    others = lambda: F.explode_outer(F.filter(
         F.sequence(F.lit(0), F.lit(folds - 1)), lambda f: f != quoted(fold))).alias("valid_fold")
     # Counts per (fold, prefix) first; spreading them over the training folds is then a small step.
     counts = digested.groupBy(quoted(fold), "__p").agg(F.count(F.lit(1)).alias("n"))
@@ -204,7 +204,9 @@ def with_prefix_steps(
 def prefix_samples(df: DataFrame, key: str, fold: str, folds: int = 5, **how: object) -> DataFrame:
     """`with_prefix_steps` in long form: (…, valid_fold, first_step) per row and training fold."""
     stepped = with_prefix_steps(df, key, fold, folds, out="__steps", **how)
-    tall = stepped.select("*", F.posexplode("__steps").alias("valid_fold", "first_step"))
+    # The array is never empty; the outer form keeps Spark from testing that in a filter of its own,
+    # which would compute the steps twice.
+    tall = stepped.select("*", F.posexplode_outer("__steps").alias("valid_fold", "first_step"))
     return tall.where(F.col("valid_fold") != quoted(fold)).drop("__steps")
 
 
