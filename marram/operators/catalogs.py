@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marram.functions.features import quoted
@@ -62,19 +62,17 @@ def traffic_shares(df: DataFrame, endpoint: str, deployment: str, traffic: str,
     also given relative to what is left.
     """
     per = df.groupBy(endpoint, deployment).agg(F.sum(traffic).cast("long").alias("t"))
-    entry = F.struct(quoted(deployment).alias("k"), F.col("t").alias("v"))
-    whole = per.groupBy(endpoint).agg(F.map_from_entries(F.sort_array(F.collect_list(entry))).alias("all"))
-    kept = F.map_filter("all", lambda k, _: k != target)
-    settled = F.when(F.size(kept) > 0, kept).otherwise(F.create_map(F.lit(target), F.lit(0).cast("long")))
-    share = whole.select(
-        endpoint, F.coalesce(F.element_at("all", F.lit(target)), F.lit(0).cast("long")).alias("target_traffic"),
-        settled.alias("left"),
-    )
-    total = F.aggregate(F.map_values("left"), F.lit(0).cast("long"), lambda a, v: a + v)
-    return share.select(
-        endpoint, "target_traffic", (F.col("target_traffic") > 0).alias("has_traffic"),
-        F.explode("left").alias(deployment, "traffic_left"), total.alias("__total"),
-    ).select(
-        endpoint, "target_traffic", "has_traffic", deployment, "traffic_left",
-        F.when(F.col("__total") > 0, F.col("traffic_left") / F.col("__total")).otherwise(F.lit(0.0)).alias("share_left"),
+    is_target = quoted(deployment) == target
+    own = Window.partitionBy(endpoint)
+    rest = F.sum(F.when(~is_target, F.col("t"))).over(own)
+    seen = per.withColumns({
+        "target_traffic": F.coalesce(F.max(F.when(is_target, F.col("t"))).over(own), F.lit(0).cast("long")),
+        "rest": F.coalesce(rest, F.lit(0).cast("long")),
+        "alone": F.count_if(~is_target).over(own) == 0,
+    }).where(~is_target | F.col("alone"))
+    left = F.when(is_target, F.lit(0).cast("long")).otherwise(F.col("t"))
+    return seen.select(
+        endpoint, "target_traffic", (F.col("target_traffic") > 0).alias("has_traffic"), deployment,
+        left.alias("traffic_left"),
+        F.when(F.col("rest") > 0, left / F.col("rest")).otherwise(F.lit(0.0)).alias("share_left"),
     )

@@ -67,13 +67,13 @@ def binned_drift(df: DataFrame, current: Column, edges: Mapping[str, Sequence[fl
 
 def categorical_drift(df: DataFrame, column: str, current: Column) -> DataFrame:
     """Total variation and Jensen–Shannon distance between label shares, in one row."""
-    counts = df.groupBy(quoted(column).cast("string").alias("label")).agg(
-        F.count_if(~current).alias("nb"), F.count_if(current).alias("nc")
+    sides = df.select(quoted(column).cast("string").alias("label"), current.alias("cur"))
+    totals = sides.agg(F.count_if(~F.col("cur")).alias("b"), F.count_if(F.col("cur")).alias("c")).first()
+    if not totals.b or not totals.c:
+        raise ValueError("drift needs rows on both sides")
+    shares = sides.groupBy("label").agg(
+        (F.count_if(~F.col("cur")) / F.lit(totals.b)).alias("pb"), (F.count_if(F.col("cur")) / F.lit(totals.c)).alias("pc")
     )
-    rows = counts.agg(
-        F.sum("nb").alias("tb"), F.sum("nc").alias("tc"), F.collect_list(F.struct("nb", "nc")).alias("each")
-    ).select("tb", "tc", F.inline("each"))
-    shares = rows.select((F.col("nb") / F.col("tb")).alias("pb"), (F.col("nc") / F.col("tc")).alias("pc"))
     pb, pc = F.col("pb"), F.col("pc")
     return shares.agg(
         F.lit(column).alias("feature"), F.count(F.lit(1)).alias("labels"),

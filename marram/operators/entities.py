@@ -125,7 +125,7 @@ def _asof_in_slices(both: DataFrame, hot: DataFrame, order: list[Column], time_b
     clock = F.unix_micros(F.col("__t").cast("timestamp"))
     edges = range_edges(marked.where("__hot"), clock, time_buckets)
     sliced = with_range_bucket(marked, clock, edges, "__slice").withColumn(
-        "__slice", F.when(F.col("__hot"), F.col("__slice")).otherwise(F.lit(-1.0))
+        "__slice", F.when(F.col("__hot"), F.col("__slice")).otherwise(F.lit(-1))
     )
     cell = ["__key", "__slice"]
     ends = sliced.where("__hot").groupBy(*cell).agg(
@@ -139,7 +139,7 @@ def _asof_in_slices(both: DataFrame, hot: DataFrame, order: list[Column], time_b
 
 
 def latest_features(df: DataFrame, key: str, time: str, columns: Sequence[str]) -> DataFrame:
-    """Newest values per key. Partial aggregation folds a hot key on the map side; nothing is sorted.
+    """Newest values per key. Partial aggregation folds a hot key on the map side, before the shuffle.
 
     Equal times are settled by the values themselves, so the answer is repeatable.
     """

@@ -58,17 +58,14 @@ def trailing_threshold(
     the whole window again for every row.
     """
     micros = F.unix_micros(quoted(time).cast("timestamp"))
-    rule_list = F.array(*[
-        F.struct(F.lit(r.action).alias("action"), F.lit(r.minutes * 60_000_000).cast("long").alias("width"),
-                 F.lit(r.threshold).alias("threshold"), F.lit(r.above).alias("above"))
-        for r in rules
+    numbered = F.array(*[
+        F.struct(F.lit(i).alias("rule"), F.lit(r.minutes * 60_000_000).cast("long").alias("width"))
+        for i, r in enumerate(rules)
     ])
     rows = df.select(
         quoted(row_id).alias("id"), quoted(series).alias("series"), quoted(value).cast("double").alias("v"),
-        micros.alias("t"), F.explode(rule_list).alias("rule"),
-    ).where(F.col("t").isNotNull()).select(
-        "*", F.floor(F.col("t") / F.col("rule.width")).cast("long").alias("block")
-    )
+        micros.alias("t"), F.inline(numbered),
+    ).where(F.col("t").isNotNull()).withColumn("block", F.expr("(t - pmod(t, width)) div width"))
     nothing = F.lit(None).cast("double")
     # own: counts in its block; halo: shows itself to the next block; probe: where the window opens.
     record = lambda block, pos, own, halo, kind: F.struct(
@@ -78,7 +75,7 @@ def trailing_threshold(
     marks = rows.select("id", "series", "rule", F.inline(F.array(
         record(block, t, v, nothing, 0),
         record(block + 1, t, nothing, v, 1),
-        record(block, t - F.col("rule.width"), nothing, nothing, 2),
+        record(block, t - F.col("width"), nothing, nothing, 2),
     )))
     cell = ["series", "rule", "block"]
     start = Window.partitionBy(*cell).orderBy("pos").rangeBetween(Window.unboundedPreceding, 0)
@@ -95,11 +92,12 @@ def trailing_threshold(
         (pick("own_sum", is_own) + pick("halo_sum", is_probe)).alias("total"),
         (pick("own_n", is_own) + pick("halo_n", is_probe)).alias("n"),
     )
-    mean = F.when(F.col("n") > 0, F.col("total") / F.col("n"))
-    fires = F.when(F.col("rule.above"), F.col("mean") > F.col("rule.threshold")).otherwise(
-        F.col("mean") < F.col("rule.threshold")
-    )
-    return whole.withColumn("mean", mean).select(
-        F.col("id").alias(row_id), F.col("rule.action").alias("action"), "mean",
+    mean = F.col("mean")
+    per_rule = lambda pick: F.element_at(F.array(*[F.lit(pick(r)) for r in rules]), F.col("rule") + 1)
+    threshold = per_rule(lambda r: r.threshold)
+    fires = F.when(per_rule(lambda r: r.above), mean > threshold).otherwise(mean < threshold)
+    judged = whole.withColumn("mean", F.when(F.col("n") > 0, F.col("total") / F.col("n")))
+    return judged.select(
+        F.col("id").alias(row_id), per_rule(lambda r: r.action).alias("action"), "mean",
         F.coalesce(fires, F.lit(False)).alias("fires"),
     )

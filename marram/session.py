@@ -35,7 +35,7 @@ def shuffle_width(spark: SparkSession) -> int:
 
 def bucket_target(spark: SparkSession) -> int:
     """How many pieces a global order or a hot group is cut into; scales with the cluster."""
-    return max(64, min(BUCKETS_PER_TASK * shuffle_width(spark), 200_000))
+    return max(64, min(BUCKETS_PER_TASK * shuffle_width(spark), 50_000))
 
 
 _local_root: str | None = None
