@@ -158,3 +158,17 @@ def trailing_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = timing.trailing_threshold(load(spark, sf_dir, "events"), row_id="event_id", series="event_type",
                                       time="ts", value="value")
     return found.withColumn("mean", F.round("mean", 6))
+
+
+@query("sliding_threshold", """
+    with w as (select event_type, value, unnest(range(5)) as back, date_trunc('minute', ts) as m from events)
+    select event_type, strftime(m - to_minutes(back) + interval '5' minute, '%Y-%m-%d %H:%M:%S') as window_end,
+           count(*) as n, round(avg(value), 6) as mean, avg(value) > 70 as fires
+    from w group by 1, 2
+""")
+def sliding_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    means = timing.sliding_means(load(spark, sf_dir, "events"), series="event_type", time="ts", value="value",
+                                 rule=timing.SCALING_RULES[0])
+    # The rule is judged on the exact mean, before it is rounded for show.
+    return means.withColumns({"window_end": F.date_format("window_end", "yyyy-MM-dd HH:mm:ss"),
+                              "mean": F.round("mean", 6)})

@@ -86,7 +86,8 @@ def model_outputs(predicted: DataFrame, request_id: str) -> DataFrame:
 
 def correlate(inputs: DataFrame, outputs: DataFrame) -> DataFrame:
     """Inputs with the outputs made from them, by correlation id and row."""
-    return inputs.join(outputs, ["correlation_id", "row_pos"])
+    twice = [c for c in outputs.columns if c in inputs.columns and c not in ("correlation_id", "row_pos")]
+    return inputs.join(outputs.drop(*twice), ["correlation_id", "row_pos"])
 
 
 def unscored(inputs: DataFrame, outputs: DataFrame) -> DataFrame:

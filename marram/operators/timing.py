@@ -41,6 +41,25 @@ SCALING_RULES = (
 )
 
 
+def sliding_means(df: DataFrame, *, series: str, time: str, value: str, rule: TrailingRule,
+                  every: str = "1 minute", lateness: str = "10 minutes") -> DataFrame:
+    """(window_end, series, n, mean, fires) over sliding windows; works on a stream or a table.
+
+    The streaming form of a rule: windows of the rule's length, one started `every` so often. Its
+    state ends with the watermark.
+    """
+    timed = df
+    if df.isStreaming:
+        timed = df.withColumn(time, quoted(time).cast("timestamp")).withWatermark(time, lateness)
+    v = quoted(value).cast("double")
+    means = timed.groupBy(F.window(quoted(time), f"{rule.minutes} minutes", every).alias("w"), quoted(series).alias(series)).agg(
+        F.count(v).alias("n"), F.avg(v).alias("mean"))
+    mean = F.col("mean")
+    fires = mean > rule.threshold if rule.above else mean < rule.threshold
+    return means.select(F.col("w.end").alias("window_end"), series, "n", "mean",
+                        F.coalesce(fires, F.lit(False)).alias("fires"))
+
+
 def trailing_threshold(
     df: DataFrame,
     *,

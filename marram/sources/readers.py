@@ -78,6 +78,18 @@ def resolve_source(spark: SparkSession, candidates: Sequence[Candidate], *, stri
     raise FileNotFoundError("no source found; tried " + ", ".join(tried))
 
 
+def asset_choice(mode: str, asset: Candidate, others: Sequence[Candidate]) -> list[Candidate]:
+    """Candidates under the asset switch: `auto` tries the asset first, `true` demands it,
+    `false` leaves it out."""
+    if mode == "true":
+        return [asset]
+    if mode == "false":
+        return list(others)
+    if mode == "auto":
+        return [asset, *others]
+    raise ValueError(f"asset switch must be auto, true or false, not {mode!r}")
+
+
 def enforce_spec(df: DataFrame, spec: FeatureSetSpec) -> DataFrame:
     """Typed columns of the spec plus `reject_reason`, NULL for rows that keep the contract.
 

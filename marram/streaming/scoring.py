@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Mapping, Sequence
+from datetime import datetime
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from marram.functions.payload import parse_payloads
@@ -42,9 +44,13 @@ def stream_scores(
         try:
             answers = scoring.responses(predicted, request_id)
             answers.write.mode("overwrite").parquet(f"{root}/responses/batch_id={batch_id}")
+            stamp = F.lit(datetime.now()).cast("timestamp")
             try:
-                write_collection(scoring.model_inputs(predicted, features, request_id),
-                                 scoring.model_outputs(predicted, request_id), root, batch_id)
+                write_collection(
+                    scoring.model_inputs(predicted, features, request_id).withColumn("collected_at", stamp),
+                    scoring.model_outputs(predicted, request_id).withColumn("collected_at", stamp),
+                    root, batch_id,
+                )
             except Exception as error:
                 if strict_collection:
                     raise
