@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 
 from marram.functions.features import quoted
 from marram.operators.splits import DEFAULT_SEED
-from marram.session import ensure_checkpoint_dir, shuffle_width
+from marram.session import ensure_checkpoint_dir
 
 DEFAULT_TREES = 100  # fixed value: trees of an untuned forest
+ROWS_PER_PARTITION = 100_000  # of training tables
 DEEPEST = 30  # the library's depth limit stands for "no limit"
 
 # The default search space.
@@ -88,12 +89,14 @@ def training_table(df: DataFrame, key: str, label: str, classes: int | None, *ke
                    features_col: str = "features") -> DataFrame:
     """(key, label, features, keep…) placed and ordered by key.
 
-    Forests depend on how rows lie in partitions even under a fixed seed. A fixed placement by key
-    makes the fit a function of the data.
+    Forests depend on how rows lie in partitions even under a fixed seed. Placement by key over a
+    number of partitions that follows from the row count alone makes the fit a function of the
+    data, on any cluster; small tables also stay in few tasks, so many fits run side by side.
     """
     ensure_checkpoint_dir(df.sparkSession)
     narrow = df.select(quoted(key), label_column(df, label, classes), F.col(features_col), *keep)
-    return narrow.repartition(shuffle_width(df.sparkSession), quoted(key)).sortWithinPartitions(quoted(key))
+    parts = max(1, -(-df.count() // ROWS_PER_PARTITION))
+    return narrow.repartition(parts, quoted(key)).sortWithinPartitions(quoted(key))
 
 
 def in_parallel(spark: SparkSession, calls: Iterable[Callable[[], object]], workers: int) -> list:

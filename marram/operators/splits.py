@@ -30,8 +30,10 @@ def _digested(df: DataFrame, key: str, seed: int, digits: int | None) -> DataFra
     )
 
 
-def _position(key: str) -> Column:
-    return F.struct(F.col("__h").alias("h"), quoted(key).alias("k"))
+def _upto(key: str, cut_digest: Column, cut_key: Column) -> Column:
+    """Whether the row stands at or before a cut; plain comparisons, so it compiles."""
+    digest = F.col("__h")
+    return (digest < cut_digest) | ((digest == cut_digest) & (quoted(key) <= cut_key))
 
 
 def _check_sizes(sizes: DataFrame, test_size: float) -> None:
@@ -89,12 +91,12 @@ def stratified_split(
     placed = digested.withColumn("__g", F.struct(quoted(label).alias("label")))
     cuts = rows_at_rank(placed.select("__g", "__p", "__h", quoted(key)), wanted,
                         group=["__g"], bucket="__p", order=["__h", key])
-    limits = small_side(cuts.select("__g", _position(key).alias("__cut")))
-    inside = F.coalesce(_position(key) <= F.col("__cut"), F.lit(False))
+    limits = small_side(cuts.select("__g", F.col("__h").alias("__ch"), quoted(key).alias("__ck")))
+    inside = F.coalesce(_upto(key, F.col("__ch"), F.col("__ck")), F.lit(False))
     return (
         placed.join(limits, "__g", "left")
         .withColumn(out, F.when(inside, "test").otherwise("train"))
-        .drop("__g", "__p", "__h", "__cut")
+        .drop("__g", "__p", "__h", "__ch", "__ck")
     )
 
 
@@ -134,19 +136,24 @@ def stratified_kfold(
     wanted = ends.select(F.struct("label").alias("__g"), F.col("fold").alias("target"), "want")
     cuts = rows_at_rank(digested.select("__g", "__p", "__h", quoted(key)), wanted,
                         group=["__g"], bucket="__p", order=["__h", key])
-    # Classes smaller than the fold count leave early folds empty: those cuts never bind.
+    at = lambda i, c: F.max(F.when(F.col("target") == i, c))
+    per_class = cuts.groupBy("__g").agg(
+        *[at(i, F.col("__h")).alias(f"__ch{i}") for i in range(folds - 1)],
+        *[at(i, quoted(key)).alias(f"__ck{i}") for i in range(folds - 1)],
+    )
+    # A class smaller than the fold count may leave its first folds empty: it starts that much later.
     leading = sizes.withColumn("want", F.sum("rows").over(upto)).where("want = 0").groupBy("label").agg(
-        F.count(F.lit(1)).alias("empty")
+        F.count(F.lit(1)).alias("__empty")
     )
-    per_class = cuts.groupBy("__g").agg(F.collect_list(_position(key)).alias("__cuts"))
     per_class = per_class.join(
-        leading.select(F.struct("label").alias("__g"), "empty"), "__g", "full_outer"
+        leading.select(F.struct("label").alias("__g"), "__empty"), "__g", "full_outer"
     )
-    passed = F.size(F.filter(F.coalesce(F.col("__cuts"), F.array()), lambda c: c < _position(key)))
-    return (
-        digested.join(small_side(per_class), "__g", "left")
-        .withColumn(out, (passed + F.coalesce(F.col("empty"), F.lit(0))).cast("int"))
-        .drop("__g", "__p", "__h", "__cuts", "empty")
+    number = F.coalesce(F.col("__empty"), F.lit(0)).cast("int")
+    for i in range(folds - 1):
+        passed = ~_upto(key, F.col(f"__ch{i}"), F.col(f"__ck{i}"))
+        number = number + F.coalesce(passed, F.lit(False)).cast("int")
+    return digested.join(small_side(per_class), "__g", "left").withColumn(out, number).select(
+        *[quoted(c) for c in df.columns], quoted(out)
     )
 
 
@@ -193,9 +200,8 @@ def with_prefix_steps(
     for f in range(folds):
         step = F.lit(None).cast("int")
         for cut in sorted((c for c in cuts if c.valid_fold == f), key=lambda c: -c.target):
-            below = (F.col("__h") < cut["__h"]) | (
-                (F.col("__h") == cut["__h"]) & (quoted(key) <= F.lit(cut[key]).cast(key_type)))
-            step = F.when(below, F.lit(cut.target)).otherwise(step)
+            held = _upto(key, F.lit(cut["__h"]), F.lit(cut[key]).cast(key_type))
+            step = F.when(held, F.lit(cut.target)).otherwise(step)
         steps.append(F.when(quoted(fold) != f, step))
     steps = F.array(*steps)
     return digested.withColumn(out, steps).drop("__p", "__h")
