@@ -219,14 +219,15 @@ def label_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("scalar_text_bool", """
     with t as (select event_id, ['Yes', ' TRUE ', '1', 'y', 'False', '0', 'NO', ' n', 'maybe', ''][1 + event_id % 10] as word
                from events)
-    select event_id, case when lower(trim(word)) in ('true', '1', 'yes', 'y') then true
-                          when lower(trim(word)) in ('false', '0', 'no', 'n') then false end as switch
+    select event_id, case when lower(trim(word)) in ('true', '1', 'yes', 'y') then 'true'
+                          when lower(trim(word)) in ('false', '0', 'no', 'n') then 'false' else 'neither' end as switch
     from t
 """)
 def scalar_text_bool(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = F.array(*[F.lit(w) for w in ("Yes", " TRUE ", "1", "y", "False", "0", "NO", " n", "maybe", "")])
     word = F.element_at(words, (F.col("event_id") % 10 + 1).cast("int"))
-    return load(spark, sf_dir, "events").select("event_id", text_to_bool(word).alias("switch"))
+    switch = F.coalesce(text_to_bool(word).cast("string"), F.lit("neither"))
+    return load(spark, sf_dir, "events").select("event_id", switch.alias("switch"))
 
 
 @query("entity_ids", """
@@ -327,12 +328,12 @@ def stratified_kfold(spark: SparkSession, sf_dir: str) -> DataFrame:
     select o_orderkey, valid_fold,
            case when rk <= cast(floor(0.2e0 * first_rows) as bigint) then 1 when rk <= cast(floor(0.4e0 * first_rows) as bigint) then 2
                 when rk <= cast(floor(0.6e0 * first_rows) as bigint) then 3 when rk <= cast(floor(0.8e0 * first_rows) as bigint) then 4
-                when rk <= first_rows then 5 end as first_step
+                when rk <= first_rows then 5 else 0 end as first_step
     from m, z
 """)
 def learning_curve_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     sampled = splits.prefix_samples(order_folds(spark, sf_dir), "o_orderkey", "fold", folds=5)
-    return sampled.select("o_orderkey", "valid_fold", "first_step")
+    return sampled.select("o_orderkey", "valid_fold", F.coalesce("first_step", F.lit(0)).alias("first_step"))
 
 
 @query("asof_features", """

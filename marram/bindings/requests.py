@@ -93,12 +93,12 @@ def predicted_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     with {ROWS_SQL}
     select event_id, 0 as error_code, row_pos, value, k, "user", hour from r
     union all
-    select event_id, cast(event_id % 20 as integer), null, null, null, null, null from e where event_id % 20 between 2 and 11
+    select event_id, cast(event_id % 20 as integer), -1, null, null, null, null from e where event_id % 20 between 2 and 11
 """)
 def parse_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = parsed_requests(spark, sf_dir)
     rows = parsed.select("event_id", "error_code", F.posexplode_outer("rows").alias("row_pos", "row"))
-    return rows.select("event_id", "error_code", "row_pos",
+    return rows.select("event_id", "error_code", F.coalesce("row_pos", F.lit(-1)).alias("row_pos"),
                        *[F.col("row")[i].alias(f) for i, f in enumerate(EVENTS.features)])
 
 

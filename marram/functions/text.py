@@ -13,10 +13,14 @@ STORE_PATH_MARK = "/paths/"
 ABFSS_HOST_SUFFIX = ".dfs.core.windows.net"
 
 
-def text_to_bool(text: Column) -> Column:
-    """TRUE, FALSE, or NULL when the text is neither; callers decide whether NULL is an error."""
+def text_to_bool(text: Column, strict: bool = False) -> Column:
+    """TRUE, FALSE, or NULL when the text is neither; in strict mode such a text fails the job."""
     word = F.lower(F.trim(text))
-    return F.when(word.isin(*TRUE_WORDS), F.lit(True)).when(word.isin(*FALSE_WORDS), F.lit(False))
+    switch = F.when(word.isin(*TRUE_WORDS), F.lit(True)).when(word.isin(*FALSE_WORDS), F.lit(False))
+    if not strict:
+        return switch
+    allowed = ", ".join((*TRUE_WORDS, *FALSE_WORDS))
+    return switch.otherwise(F.raise_error(F.concat(F.lit(f"expected one of {allowed}; got "), text)).cast("boolean"))
 
 
 def or_default(text: Column, default: str) -> Column:

@@ -62,6 +62,13 @@ def test_text_rules(spark):
     assert [tuple(r) for r in rows] == [(True, "none", "max_depth"), (False, "x", "model"), (None, "none", "a_model__b")]
 
 
+def test_strict_switch_names_the_text(spark):
+    df = spark.createDataFrame([("yes",), ("perhaps",)], "t string")
+    with pytest.raises(Exception, match="got perhaps"):
+        df.select(text_to_bool(F.col("t"), strict=True)).collect()
+    assert df.limit(1).select(text_to_bool(F.col("t"), strict=True)).first()[0] is True
+
+
 def test_addresses(spark):
     df = spark.createDataFrame([("azureml://datastores/lake/paths/a/paths/b.csv",), ("azureml://datastores/lake/x",),
                                 ("https://datastores/lake/paths/a",)], "u string")
