@@ -103,11 +103,11 @@ def data_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _quantile_sql(column: str, name: str) -> str:
-    picks = ", ".join(f"min(v) filter (upto >= {p}e0 * n) as q{round(p * 100)}" for p in (0.25, 0.5, 0.75))
+    picks = ", ".join(f"min(v) filter (upto >= {p}e0 * n) + 0e0 as q{round(p * 100)}" for p in (0.25, 0.5, 0.75))
     return f"""
     select '{name}' as feature, (select count({column}) from lineitem) as n,
            (select round(avg({column}), 6) from lineitem) as mean, (select round(stddev_pop({column}), 6) from lineitem) as std,
-           (select min({column}) from lineitem) as min, (select max({column}) from lineitem) as max, {picks}
+           (select min({column}) + 0e0 from lineitem) as min, (select max({column}) + 0e0 from lineitem) as max, {picks}
     from (select v, sum(c) over (order by v) as upto, sum(c) over () as n
           from (select {column} as v, count(*) as c from lineitem where {column} is not null group by 1))
     """
@@ -118,7 +118,9 @@ def _quantile_sql(column: str, name: str) -> str:
 def feature_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = LINES.canonical(load(spark, sf_dir, "lineitem"))
     found = profiles.feature_profile(lines, LINES.features)
-    return found.withColumns({"mean": F.round("mean", 6), "std": F.round("std", 6)})
+    # A zero may come with either sign; adding zero settles it on both sides of the comparison.
+    plain = {c: F.col(c) + F.lit(0.0) for c in ("min", "max", "q25", "q50", "q75")}
+    return found.withColumns({"mean": F.round("mean", 6), "std": F.round("std", 6), **plain})
 
 
 DAILY_SQL = """
