@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marram.llm import chat, cleaning, decontaminate, mixing, sharding, simhash
+from marram.llm import (chat, cleaning, decontaminate, language, mixing, quality, sharding, simhash, suffixes, toxicity)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,10 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op5_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_report(_table(spark, sf_dir, "documents"))
 
@@ -35,6 +39,18 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.quality_report(_table(spark, sf_dir, "documents"))
 
 
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.repeat_report(_table(spark, sf_dir, "documents"))
+
+
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.language_report(_table(spark, sf_dir, "documents"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     told = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
@@ -46,8 +62,12 @@ QUERIES: dict[str, Query] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_simhash": op2_simhash,
     "op3_decontaminate": op3_decontaminate,
+    "op4_quality": op4_quality,
     "op5_shards": op5_shards,
     "op6_quality_rules": op6_quality_rules,
+    "op7_repeats": op7_repeats,
+    "op8_language": op8_language,
+    "op9_toxicity": op9_toxicity,
     "op10_chat": op10_chat,
 }
 

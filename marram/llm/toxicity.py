@@ -10,10 +10,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marram.llm.classify import ROWS_PER_CLASS, labelled_sample, sigmoid, verdicts, with_scores
+from marram.llm.classify import ROWS_PER_CLASS, Adam, labelled_sample, sigmoid, verdicts, with_scores
 from marram.llm.tokens import IS_GAP, LOWER, chunks, mix
 
-BUCKET_BITS = 18
+BUCKET_BITS = 20
+# The vocabulary: subwords whose texts of the sample lean to one label by this many standard deviations.
+# Others say nothing about toxicity, and their embeddings would only learn single texts by heart.
+LEAN = 4.0
 SIZES = (4, 5, 6)  # bytes; the gap before or after a word counts as one
 WIDTH = 8
 THRESHOLD = 0.7
@@ -50,84 +53,78 @@ def subwords(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
 
 @dataclass
 class ToxicityModel:
-    embeddings: np.ndarray  # one vector per bucket
+    row: np.ndarray  # by bucket: row of its embedding, 0 for a subword outside the vocabulary
+    embeddings: np.ndarray
     softmax: np.ndarray  # WIDTH x 2
     bias: np.ndarray
+    root: float = 0.5  # the bag is divided by its size to this power
 
     def score(self, column: pa.Array) -> np.ndarray:
-        """Softmax of the averaged embeddings. The layer is linear, so each bucket's share is computed once."""
+        """Softmax of the pooled embeddings. The layer is linear, so each bucket's share is computed once."""
         share = self.embeddings @ (self.softmax[:, 1] - self.softmax[:, 0])
         total, count = np.zeros(len(column)), np.zeros(len(column))
-        for row, code, doc in subwords(column):
+        for first, code, doc in subwords(column):
+            row = self.row[code]
+            known = np.flatnonzero(row)
+            row, doc = row[known], doc[known]
             n = int(doc.max()) + 1 if len(doc) else 0
-            total[row:row + n] += np.bincount(doc, weights=share[code], minlength=n)[:n]
-            count[row:row + n] += np.bincount(doc, minlength=n)[:n]
-        return sigmoid(total / np.sqrt(np.maximum(count, 1)) + self.bias[1] - self.bias[0])
+            total[first:first + n] += np.bincount(doc, weights=share[row], minlength=n)
+            count[first:first + n] += np.bincount(doc, minlength=n)
+        return sigmoid(total / np.maximum(count, 1) ** self.root + self.bias[1] - self.bias[0])
 
 
-def fit(texts: pa.Array, labels: np.ndarray, epochs: int = 6, rate: float = 0.3, seed: int = 11) -> ToxicityModel:
-    """Stochastic gradients with per-weight rates (AdaGrad) through both layers at once.
-
-    The bag is divided by the root of its size, so a few telling subwords are not lost in a long text.
-    """
+def _vocabulary(bags: list[np.ndarray], y: np.ndarray) -> np.ndarray:
+    """By bucket: 1, 2, ... for the subwords whose share of toxic texts is far from the sample's, else 0."""
+    size = 1 << BUCKET_BITS
+    n = [np.bincount(np.concatenate([b for b, t in zip(bags, y) if t == k] or [np.empty(0, np.int64)]), minlength=size)
+         for k in (0, 1)]
+    p, total = y.mean(), n[0] + n[1]
+    lean = np.abs(n[1] - p * total) / np.sqrt(np.maximum(total * p * (1 - p), 1e-9))
+    chosen = np.flatnonzero((lean >= LEAN) & (total > 1))
+    row = np.zeros(size, dtype=np.int32)
+    row[chosen] = np.arange(1, len(chosen) + 1)
+    return row
+
+
+def fit(texts: pa.Array, labels: np.ndarray, epochs: int = 60, rate: float = 0.05, seed: int = 11,
+        root: float = 0.5) -> ToxicityModel:
+    """Choose the vocabulary, then train embeddings and softmax together by Adam on mini-batches."""
     y = labels.astype(np.int64)
     rng = np.random.default_rng(seed)
     size = 1 << BUCKET_BITS
-    e = rng.normal(0, 0.01, (size, WIDTH))
-    u = np.zeros((WIDTH, 2))
-    u[:, 1], u[:, 0] = 0.3, -0.3
-    bias = np.zeros(2)
-    model = ToxicityModel(e, u, bias)
+    u, bias = rng.normal(0, 0.3, (WIDTH, 2)), np.zeros(2)
+    model = ToxicityModel(np.zeros(size, dtype=np.int32), np.zeros((1, WIDTH)), u, bias, root)
     if len(np.unique(y)) < 2:
         return model
-    bags = []
-    for _, code, doc in subwords(texts):
+    bags = [(np.empty(0, np.int64), np.empty(0, np.int64))] * len(y)
+    for first, code, doc in subwords(texts):
         keys, counts = np.unique(doc << BUCKET_BITS | code, return_counts=True)
         cuts = np.searchsorted(keys >> BUCKET_BITS, np.arange(int(doc.max(initial=-1)) + 2))
-        part = [(keys[a:b] & (size - 1), counts[a:b] / np.sqrt(max(counts[a:b].sum(), 1))) for a, b in zip(cuts, cuts[1:])]
-        bags += [(_, p) for p in part]
-    bags, y = _aligned(texts, bags), y
-    seen_e, seen_u, seen_b = np.full((size, WIDTH), 1e-2), np.full((WIDTH, 2), 1e-2), np.full(2, 1e-2)
-    order = np.arange(len(y))
+        for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            bags[first + k] = keys[a:b] & (size - 1), counts[a:b]
+    model.row = _vocabulary([b for b, _ in bags], y)
+    bags = [(model.row[b][model.row[b] > 0], c[model.row[b] > 0]) for b, c in bags]
+    model.embeddings = e = rng.normal(0, 0.1, (int(model.row.max()) + 1, WIDTH))
+    adam, order = Adam([e, u, bias], rate), np.arange(len(y))
     for _ in range(epochs):
         rng.shuffle(order)
-        for low in range(0, len(order), 64):
-            batch = order[low:low + 64]
+        for low in range(0, len(order), 256):
+            batch = order[low:low + 256]
             ids = np.concatenate([bags[k][0] for k in batch])
-            weight = np.concatenate([bags[k][1] for k in batch])
+            weight = np.concatenate([bags[k][1] / max(bags[k][1].sum(), 1) ** root for k in batch])
             doc = np.repeat(np.arange(len(batch)), [len(bags[k][0]) for k in batch])
-            rows, at = np.unique(ids, return_inverse=True)
-            own = e[rows]
-            pooled = np.stack([np.bincount(doc, weights=weight * own[at, d], minlength=len(batch)) for d in range(WIDTH)], axis=1)
+            pooled = np.stack([np.bincount(doc, weights=weight * e[ids, d], minlength=len(batch)) for d in range(WIDTH)], axis=1)
             logits = pooled @ u + bias
             p = np.exp(logits - logits.max(axis=1, keepdims=True))
             p /= p.sum(axis=1, keepdims=True)
             p[np.arange(len(batch)), y[batch]] -= 1
             p /= len(batch)
             back = p @ u.T
-            grad = np.stack([np.bincount(at, weights=weight * back[doc, d], minlength=len(rows)) for d in range(WIDTH)], axis=1)
-            grad += 1e-6 * own
-            seen_e[rows] += grad * grad * len(batch)
-            e[rows] -= rate * 0.1 * grad * np.sqrt(len(batch)) / np.sqrt(seen_e[rows])
-            grad_u, grad_b = pooled.T @ p, p.sum(axis=0)
-            seen_u += grad_u * grad_u
-            u -= rate * 0.1 * grad_u / np.sqrt(seen_u)
-            seen_b += grad_b * grad_b
-            bias -= rate * 0.1 * grad_b / np.sqrt(seen_b)
+            grad = np.stack([np.bincount(ids, weights=weight * back[doc, d], minlength=len(e)) for d in range(WIDTH)], axis=1)
+            adam.update([grad + 1e-5 * e, pooled.T @ p + 1e-4 * u, p.sum(axis=0)])
     return model
 
 
-def _aligned(texts: pa.Array, bags: list) -> list[tuple[np.ndarray, np.ndarray]]:
-    """One bag per text: the last texts of a chunk may have no subword and so no bag."""
-    out = [(np.empty(0, np.int64), np.empty(0))] * len(texts)
-    place: dict[int, int] = {}
-    for row, bag in bags:
-        k = place.get(row, 0)
-        out[row + k] = bag
-        place[row] = k + 1
-    return out
-
-
 def toxicity_scores(docs: DataFrame, labels: DataFrame, per_class: int = ROWS_PER_CLASS) -> DataFrame:
     """doc_id, held_out, score, predicted (1 from 0.7) for every document.
 
