@@ -3,7 +3,7 @@
 A suffix array of a whole corpus is one sequential object. Here it is cut so that the pieces can be built
 apart and together still see every repeat:
 
-* Every window of `length` bytes has an anchor, the place in it whose 32-byte hash is least. It depends on
+* Every window of `length` bytes has an anchor, the place in it whose 24-byte hash is least. It depends on
   the window's bytes alone, so equal windows have equal anchors, and windows with different anchor hashes
   need never meet. An anchor owns a run of neighbouring windows; their bytes are its context.
 * Contexts equal as a whole are one class: all but the first lose every window. Nothing else is needed for
@@ -15,18 +15,19 @@ apart and together still see every repeat:
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marram.llm.tokens import Chunk, chunks, mix
-from marram.session import ensure_checkpoint_dir
+from marram.session import ensure_checkpoint_dir, shared_root
 
 LENGTH = 100
-ANCHOR = 32
+ANCHOR = 24
 PLACE_BITS = 24
 # Long documents are scanned in overlapping parts of this many bytes, which bounds a task's memory.
 PART_BYTES = 1 << 21
@@ -34,6 +35,8 @@ PART_BYTES = 1 << 21
 BATCH_CONTEXTS = 8192
 HOT_CONTEXTS = 20_000
 NO_ID = -(1 << 63)  # stands for a null id: first in order
+# A context's place in one long: start (36 bits), number of the text under its id (20), settled (1), windows (7).
+START_BIT, COPY_BIT, SETTLED_BIT = 28, 8, 7
 
 
 def rolling_hashes(buf: np.ndarray, size: int) -> np.ndarray:
@@ -158,13 +161,31 @@ def _marks_of(contexts: list[bytes], counts: np.ndarray, doc: np.ndarray, start:
     return out
 
 
+def _start(place: Column) -> Column:
+    return F.shiftright(place, START_BIT)
+
+
+def _copy(place: Column) -> Column:
+    return F.shiftright(place, COPY_BIT).bitwiseAND(F.lit((1 << START_BIT - COPY_BIT) - 1))
+
+
+def _windows(place: Column) -> Column:
+    return place.bitwiseAND(F.lit((1 << SETTLED_BIT) - 1))
+
+
+def _settled(place: Column) -> Column:
+    return place.bitwiseAND(F.lit(1 << SETTLED_BIT)) > 0
+
+
 def _anchor_table(docs: DataFrame, length: int) -> DataFrame:
-    """(h, c, doc, copy, start, n): anchor hash, context hash, and where the context's windows start."""
-    schema = "h long, c long, doc long, copy long, start long, n int, dup boolean"
+    """(h, c, doc, place): anchor hash, context hash, document, and where the context's windows start.
+
+    These rows are what is shuffled, a few for every hundred bytes of text, so they hold four numbers only.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, copies = np.asarray(batch.column(0).fill_null(NO_ID)), np.asarray(batch.column(1))
+            ids, copies = np.asarray(batch.column(0)), np.asarray(batch.column(1))
             for chunk in chunks(batch.column(2), PART_BYTES):
                 for buf, offsets, rows, shift in _parts(chunk, length):
                     h, first, n, c = anchors(buf, offsets, length)
@@ -173,30 +194,34 @@ def _anchor_table(docs: DataFrame, length: int) -> DataFrame:
                     who, copy = ids[rows[doc]], copies[rows[doc]]
                     # Equal contexts within the chunk are settled here: only the first goes on to be compared.
                     order = np.lexsort((start, copy, who, c, h))
-                    dup = np.zeros(len(h), dtype=bool)
+                    settled = np.zeros(len(h), dtype=bool)
                     if len(h) > 1:
                         a, b = order[:-1], order[1:]
                         same = (h[a] == h[b]) & (c[a] == c[b])
-                        dup[b[same]] = True
+                        settled[b[same]] = True
                         # Rows that are one document repeated do not count as earlier copies of each other.
                         head = order[np.maximum.accumulate(np.where(np.append(False, same), 0, np.arange(len(order))))]
-                        dup[order] &= ~((who[order] == who[head]) & (copy[order] == copy[head]) & (start[order] == start[head]))
+                        settled[order] &= ~((who[order] == who[head]) & (copy[order] == copy[head]) & (start[order] == start[head]))
+                    place = start << START_BIT | copy << COPY_BIT | settled.astype(np.int64) << SETTLED_BIT | n
+                    # Settled rows are dealt out one by one, so a hot anchor brings a row per chunk at most.
+                    h = np.where(settled, mix(h + start.astype(np.uint64) * np.uint64(5) + who.astype(np.uint64)), h)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(h.view(np.int64)), pa.array(c.view(np.int64)), pa.array(who), pa.array(copy), pa.array(start),
-                         pa.array(n.astype(np.int32)), pa.array(dup)],
-                        names=["h", "c", "doc", "copy", "start", "n", "dup"])
+                        [pa.array(h.view(np.int64)), pa.array(c.view(np.int64)), pa.array(who), pa.array(place)],
+                        names=["h", "c", "doc", "place"])
 
-    return docs.select("doc_id", "_copy", "text").mapInArrow(run, schema)
+    return docs.select("_doc", "_copy", "text").mapInArrow(run, "h long, c long, doc long, place long")
 
 
 def _contexts(found: DataFrame, texts: DataFrame, length: int) -> DataFrame:
     """The bytes of the wanted contexts, cut out of their texts."""
     per_doc = found.groupBy("doc", "copy").agg(F.collect_list(F.struct("h", "start", "n")).alias("wanted"))
-    joined = texts.join(per_doc, (F.col("_doc") == F.col("doc")) & (F.col("_copy") == F.col("copy")))
+    joined = texts.join(per_doc, (F.col("_doc") == F.col("doc")) & (F.col("_copy") == F.col("copy")), "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc, copy, text, wanted in zip(*(batch.column(k) for k in range(4))):
+            for doc, copy, text, wanted in zip(*(batch.column(k) for k in range(1, 5))):
+                if not wanted.is_valid:
+                    continue
                 raw, w = memoryview(text.as_buffer()), wanted.values
                 starts, ns = np.asarray(w.field("start")), np.asarray(w.field("n"))
                 # Slices only: a document's contexts overlap little.
@@ -206,8 +231,9 @@ def _contexts(found: DataFrame, texts: DataFrame, length: int) -> DataFrame:
                     [w.field("h"), pa.array(np.full(k, doc.as_py())), pa.array(np.full(k, copy.as_py())), w.field("start"),
                      w.field("n"), pa.array(pieces, type=pa.binary())], names=["h", "doc", "copy", "start", "n", "bytes"])
 
-    return joined.select("doc", "copy", F.col("text").cast("binary").alias("text"), "wanted").mapInArrow(
-        run, "h long, doc long, copy long, start long, n int, bytes binary")
+    # The same columns and the same kind of join as for the final cut, so both share one shuffle of the texts.
+    return joined.select("doc_id", "_doc", "_copy", F.col("text").cast("binary").alias("text"), "wanted").mapInArrow(
+        run, "h long, doc long, copy long, start long, n long, bytes binary")
 
 
 def _suffix_marks(contexts: DataFrame, length: int) -> DataFrame:
@@ -272,28 +298,44 @@ def _window_marks(contexts: DataFrame, length: int) -> DataFrame:
     return later.select("doc", "copy", "low", (F.col("low") + length).alias("high"))
 
 
-def repeat_marks(docs: DataFrame, length: int = LENGTH, hot: int = HOT_CONTEXTS) -> DataFrame:
-    """(doc, copy, low, high): byte runs covered by a `length`-byte string that also starts earlier.
+def _keyed(docs: DataFrame) -> DataFrame:
+    """doc_id, text, and the document's place in the order: `_doc` (its id) and `_copy` (0 where ids are unique).
 
-    `docs` has doc_id, `_copy` (a hash of the text, so rows with one id have an order) and text.
+    Texts under one id are numbered by their hash. Only ids that occur with several texts are ever looked at.
     """
-    ensure_checkpoint_dir(docs.sparkSession)
-    found = _anchor_table(docs, length)
-    # What is settled already takes no part: dealt out one by one, so a hot anchor brings a row per chunk at most.
-    found = found.withColumn("deal", F.when(F.col("dup"), F.xxhash64("h", "doc", "start")).otherwise(F.col("h")))
-    anchor = Window.partitionBy("deal", "dup")
-    order = Window.partitionBy("deal", "dup", "c").orderBy("doc", "copy", "start")
-    ranked = found.repartition("deal", "dup").withColumns({
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"),
+                       F.coalesce("doc_id", F.lit(NO_ID)).cast("long").alias("_doc"))
+    hashed = rows.select("_doc", F.xxhash64("text").alias("_hash"))
+    several = hashed.groupBy("_doc").agg(F.min("_hash").alias("a"), F.max("_hash").alias("b")).where("a != b").select("_doc")
+    several = several.checkpoint()
+    if several.isEmpty():
+        return rows.withColumn("_copy", F.lit(0).cast("long"))
+    texts = hashed.join(several, "_doc", "left_semi").distinct().withColumn(
+        "_copy", F.row_number().over(Window.partitionBy("_doc").orderBy("_hash")).cast("long")).checkpoint()
+    return rows.withColumn("_hash", F.xxhash64("text")).join(texts, ["_doc", "_hash"], "left").select(
+        "doc_id", "text", "_doc", F.coalesce("_copy", F.lit(0).cast("long")).alias("_copy"))
+
+
+def repeat_marks(keyed: DataFrame, length: int = LENGTH, hot: int = HOT_CONTEXTS) -> DataFrame:
+    """(doc, copy, low, high): byte runs covered by a `length`-byte string that also starts earlier."""
+    spark = keyed.sparkSession
+    place = F.col("place")
+    anchor = Window.partitionBy("h", _settled(place))
+    order = Window.partitionBy("h", _settled(place), "c").orderBy("doc", _copy(place), _start(place))
+    ranked = _anchor_table(keyed, length).repartition("h").withColumns({
         "least": F.min("c").over(anchor), "greatest": F.max("c").over(anchor), "rank": F.rank().over(order)})
-    # Anchors seen once are gone after this; what stays is written down and read twice.
-    kept = ranked.where("dup or rank > 1 or least != greatest").select(
-        "h", "doc", "copy", "start", "n", (F.col("dup") | (F.col("rank") > 1)).alias("later"))
-    kept = kept.checkpoint()
-    whole = kept.where("later").select("doc", "copy", F.col("start").alias("low"), (F.col("start") + F.col("n") + (length - 1)).alias("high"))
-    firsts = kept.where(~F.col("later"))
-    texts = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("_doc"), "_copy", "text")
+    # Anchors seen once are gone after this. What stays is written, small and compressed, and read twice.
+    later = _settled(place) | (F.col("rank") > 1)
+    path = f"{shared_root(spark)}/repeats-{uuid.uuid4().hex}"
+    ranked.where(later | (F.col("least") != F.col("greatest"))).select(
+        F.when(~later, F.col("h")).alias("h"), "doc", "place").write.option("compression", "zstd").parquet(path)
+    kept = spark.read.schema("h long, doc long, place long").parquet(path).select(
+        "h", "doc", _copy(place).alias("copy"), _start(place).alias("start"), _windows(place).alias("n"))
+    whole = kept.where("h is null").select(
+        "doc", "copy", F.col("start").alias("low"), (F.col("start") + F.col("n") + (length - 1)).alias("high"))
+    firsts = kept.where("h is not null")
     crowded = firsts.groupBy("h").count().where(F.col("count") > hot).select("h").checkpoint()
-    contexts = _contexts(firsts, texts, length)
+    contexts = _contexts(firsts, keyed, length)
     if crowded.isEmpty():
         return whole.union(_suffix_marks(contexts, length))
     contexts = contexts.checkpoint()
@@ -306,13 +348,13 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT_CONTEX
 
     Null texts are empty. Documents come in the order of their ids, nulls first, then of a hash of the text;
     rows equal in both are the same document and not earlier copies of themselves. Texts shorter than
-    `length` lose nothing.
+    `length` lose nothing. Other columns are not read.
     """
-    keyed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("_copy", F.xxhash64("text"))
+    ensure_checkpoint_dir(docs.sparkSession)
+    keyed = _keyed(docs)
     marks = repeat_marks(keyed, length, hot)
     per_doc = marks.groupBy("doc", "copy").agg(F.collect_list(F.struct("low", "high")).alias("marks"))
-    rows = keyed.withColumn("_doc", F.coalesce("doc_id", F.lit(NO_ID)))
-    joined = rows.join(per_doc, (F.col("_doc") == F.col("doc")) & (F.col("_copy") == F.col("copy")), "left")
+    joined = keyed.join(per_doc, (F.col("_doc") == F.col("doc")) & (F.col("_copy") == F.col("copy")), "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
