@@ -141,8 +141,9 @@ def maximal_repeats(suffix_rows: np.ndarray, sizes: np.ndarray, left: np.ndarray
                 stack.append((depth, first))
 
 
-def _marks_of(contexts: list[bytes], counts: np.ndarray, doc: np.ndarray, start: np.ndarray, length: int):
-    """Bytes to remove from each context: (context, from, to) relative to its first window."""
+def _marks_of(contexts: list[bytes], counts: np.ndarray, doc: np.ndarray, start: np.ndarray, length: int
+              ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes to remove: contexts that lose some, and from where to where, relative to the first window."""
     width = length + int(counts.max()) - 1
     flat = np.frombuffer(b"".join(c.ljust(width, b"\0") for c in contexts) + b"\0" * width, dtype=np.uint8)
     owner = np.repeat(np.arange(len(contexts)), counts)
@@ -154,11 +155,14 @@ def _marks_of(contexts: list[bytes], counts: np.ndarray, doc: np.ndarray, start:
     rank = np.lexsort((start[owner] + shift, doc[owner]))
     place = np.empty_like(rank)
     place[rank] = np.arange(len(rank))
-    out = []
+    # A context has fewer windows than a window has bytes, so its removed runs overlap: one run per context.
+    low, high = np.full(len(contexts), width), np.zeros(len(contexts), dtype=np.int64)
     for size, group in maximal_repeats(np.ascontiguousarray(rows), real, left, length):
-        first = group[np.argmin(place[group])]
-        out += [(int(owner[g]), int(shift[g]), int(shift[g]) + size) for g in group if g != first]
-    return out
+        later = group[group != group[np.argmin(place[group])]]
+        np.minimum.at(low, owner[later], shift[later])
+        np.maximum.at(high, owner[later], shift[later] + size)
+    hit = np.flatnonzero(high)
+    return hit, low[hit], high[hit]
 
 
 def _start(place: Column) -> Column:
@@ -248,10 +252,8 @@ def _suffix_marks(contexts: DataFrame, length: int) -> DataFrame:
         order = np.lexsort((start, copy, doc))
         rank = np.empty(len(order), dtype=np.int64)
         rank[order] = np.cumsum(np.append(0, (doc[order][1:] != doc[order][:-1]) | (copy[order][1:] != copy[order][:-1])))
-        marks = _marks_of(table.column("bytes").to_pylist(), n.astype(np.int64), rank, start, length)
-        k = np.array([m[0] for m in marks], dtype=np.int64)
-        low = start[k] + np.array([m[1] for m in marks], dtype=np.int64)
-        high = start[k] + np.array([m[2] for m in marks], dtype=np.int64)
+        k, low, high = _marks_of(table.column("bytes").to_pylist(), n.astype(np.int64), rank, start, length)
+        low, high = start[k] + low, start[k] + high
         return pa.RecordBatch.from_arrays([pa.array(x) for x in (doc[k], copy[k], low, high)], names=["doc", "copy", "low", "high"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -338,7 +340,6 @@ def repeat_marks(keyed: DataFrame, length: int = LENGTH, hot: int = HOT_CONTEXTS
     contexts = _contexts(firsts, keyed, length)
     if crowded.isEmpty():
         return whole.union(_suffix_marks(contexts, length))
-    contexts = contexts.checkpoint()
     return whole.union(_suffix_marks(contexts.join(crowded, "h", "left_anti"), length)).union(
         _window_marks(contexts.join(crowded, "h", "left_semi"), length))
 
