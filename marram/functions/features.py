@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marram.session import shared_root
+
 
 def require_columns(df: DataFrame, needed: Iterable[str], what: str = "input") -> DataFrame:
     """Fail on the driver, before any job, naming every absent column."""
@@ -61,10 +64,16 @@ def unknown_labels(df: DataFrame, label: str, codes: Mapping[str, int]) -> DataF
 def with_label_code(
     df: DataFrame, label: str, codes: Mapping[str, int], out: str = "label_code", strict: bool = False
 ) -> DataFrame:
-    """Add the class code. Strict mode runs one job and raises, naming the offending labels."""
+    """Add the class code. Strict mode writes all unknown labels to a table and raises if there are any.
+
+    The error gives their number, the table's place and the first of them in order.
+    """
     if strict:
-        shown = [r.unknown_label for r in unknown_labels(df, label, codes).limit(101).collect()]
-        if shown:
-            tail = " and more" if len(shown) > 100 else ""
-            raise ValueError(f"unsupported labels in {label!r}: {shown[:100]}{tail}")
+        path = f"{shared_root(df.sparkSession)}/unknown_labels/{uuid.uuid4().hex}"
+        unknown_labels(df, label, codes).write.parquet(path)
+        found = df.sparkSession.read.schema("unknown_label string").parquet(path)
+        number = found.count()
+        if number:
+            first = [r.unknown_label for r in found.orderBy("unknown_label").limit(100).collect()]
+            raise ValueError(f"{number} unsupported labels in {label!r}, all of them in {path}; first: {first}")
     return df.withColumn(out, encode_label(quoted(label), codes))

@@ -24,13 +24,16 @@ def unit_interval(seed: int, *keys: Column) -> Column:
     return bits.cast("double") / F.lit(float(2**52))
 
 
-def poisson_one(u: Column, longest: int = 12) -> Column:
-    """Poisson(1) count for a uniform `u`: how often a bootstrap bag draws the row."""
+def poisson_one(u: Column) -> Column:
+    """Poisson(1) count for a uniform `u`: how often a bootstrap bag draws the row.
+
+    The series is followed until a further term no longer moves the double.
+    """
     steps, term, total = [], math.exp(-1.0), 0.0
-    for k in range(longest):
+    while total + term != total:
         total += term
         steps.append(total)
-        term /= k + 1
+        term /= len(steps)
     count = F.lit(0)
     for edge in steps:
         count = count + (u >= F.lit(edge)).cast("int")

@@ -29,7 +29,7 @@ def or_default(text: Column, default: str) -> Column:
 
 def strip_prefix(text: Column, prefix: str = "model__") -> Column:
     return F.when(
-        F.startswith(text, F.lit(prefix)), F.substring(text, len(prefix) + 1, 1_000_000)
+        F.startswith(text, F.lit(prefix)), F.substr(text, F.lit(len(prefix) + 1))
     ).otherwise(text)
 
 
@@ -38,7 +38,7 @@ def parse_store_uri(uri: Column) -> Column:
 
     The first mark separates the two, so a path may hold further marks.
     """
-    rest = F.substring(uri, len(STORE_PREFIX) + 1, 1_000_000)
+    rest = F.substr(uri, F.lit(len(STORE_PREFIX) + 1))
     parts = F.split(rest, STORE_PATH_MARK, 2)
     matches = F.startswith(uri, F.lit(STORE_PREFIX)) & (F.size(parts) == 2)
     return F.when(matches, F.struct(parts[0].alias("store"), parts[1].alias("path")))

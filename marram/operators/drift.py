@@ -46,6 +46,8 @@ def binned_drift(df: DataFrame, current: Column, edges: Mapping[str, Sequence[fl
         F.struct(F.lit(f).alias("feature"), F.col(b).cast("int").alias("bin"),
                  F.lit(len(edges[f]) + 1).alias("bins")) for f, b in held.items()
     ]))).where(F.col("bin") < F.col("bins"))
+    # A feature without any value still has a row, with null measures.
+    listed = df.sparkSession.createDataFrame([(f,) for f in names], "feature string")
     counts = tall.groupBy("feature", "bins", "bin").agg(
         F.count_if(~F.col("__cur")).alias("nb"), F.count_if(F.col("__cur")).alias("nc")
     )
@@ -60,25 +62,28 @@ def binned_drift(df: DataFrame, current: Column, edges: Mapping[str, Sequence[fl
     share = lambda n, total: (F.coalesce(n, F.lit(0)) + HALF) / (F.col(total) + HALF * F.col("bins"))
     smooth = full.select("feature", share(hit["nb"], "tb").alias("pb"), share(hit["nc"], "tc").alias("pc"))
     pb, pc = F.col("pb"), F.col("pc")
-    return smooth.groupBy("feature").agg(
+    measured = smooth.groupBy("feature").agg(
         F.sum((pc - pb) * F.ln(pc / pb)).alias("psi"), F.sqrt(F.sum(_js(pb, pc))).alias("js_distance")
     )
+    return listed.join(measured, "feature", "left")
 
 
 def categorical_drift(df: DataFrame, column: str, current: Column) -> DataFrame:
-    """Total variation and Jensen–Shannon distance between label shares, in one row."""
+    """Total variation and Jensen–Shannon distance between label shares, in one row.
+
+    Null is a label of its own. Without rows on both sides there is nothing to compare: the measures are null.
+    """
     sides = df.select(quoted(column).cast("string").alias("label"), current.alias("cur"))
     totals = sides.agg(F.count_if(~F.col("cur")).alias("b"), F.count_if(F.col("cur")).alias("c")).first()
-    if not totals.b or not totals.c:
-        raise ValueError("drift needs rows on both sides")
     shares = sides.groupBy("label").agg(
-        (F.count_if(~F.col("cur")) / F.lit(totals.b)).alias("pb"), (F.count_if(F.col("cur")) / F.lit(totals.c)).alias("pc")
+        F.try_divide(F.count_if(~F.col("cur")), F.lit(totals.b)).alias("pb"),
+        F.try_divide(F.count_if(F.col("cur")), F.lit(totals.c)).alias("pc"),
     )
     pb, pc = F.col("pb"), F.col("pc")
     return shares.agg(
         F.lit(column).alias("feature"), F.count(F.lit(1)).alias("labels"),
         (0.5 * F.sum(F.abs(pb - pc))).alias("total_variation"),
-        F.sqrt(F.sum(_js(pb, pc))).alias("js_distance"),
+        F.sqrt(F.sum(F.when(pb.isNotNull() & pc.isNotNull(), _js(pb, pc)))).alias("js_distance"),
     ).select("feature", "labels", "total_variation", "js_distance")
 
 
@@ -87,9 +92,10 @@ def exact_drift(df: DataFrame, feature: str, current: Column, buckets: int | Non
 
     Rows fold to distinct values with two counts; the two running shares are then compared along
     value ranges. A gap to the next value may cross a range, so each range hands its first value on.
+    Nulls and NaN are left out; without values on both sides the measures are null.
     """
     rows = df.select(quoted(feature).cast("double").alias("v"), current.cast("int").alias("cur")).where(
-        F.col("v").isNotNull() & F.col("cur").isNotNull()
+        F.col("v").isNotNull() & ~F.isnan("v") & F.col("cur").isNotNull()
     )
     edges = range_edges(rows, F.col("v"), buckets)
     folded = rows.groupBy("v").agg(F.sum((1 - F.col("cur")).cast("long")).alias("nb"),
@@ -99,7 +105,7 @@ def exact_drift(df: DataFrame, feature: str, current: Column, buckets: int | Non
     along = running_totals(placed, {"fb": F.col("nb"), "fc": F.col("nc")}, bucket=["__range"],
                            order=order, extra={"first": F.min("v")})
     ahead = F.coalesce(F.lead("v").over(bucket_window(order)), F.col("first__next"))
-    gap = F.abs(F.col("fb") / F.col("fb__total") - F.col("fc") / F.col("fc__total"))
+    gap = F.abs(F.try_divide("fb", "fb__total") - F.try_divide("fc", "fc__total"))
     return along.select(gap.alias("gap"), (ahead - F.col("v")).alias("width")).agg(
         F.lit(feature).alias("feature"), F.max("gap").alias("ks"),
         F.sum(F.col("gap") * F.col("width")).alias("wasserstein_1"),

@@ -2,6 +2,9 @@
 
 The data is folded once to (actual, predicted, n). Every figure after that is computed from this
 table of at most classes x classes rows.
+
+Labels are compared as text, and null is a label like any other: a row with a null counts in every
+figure, and only null against null is a hit.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ def align_predictions(labels: DataFrame, predictions: DataFrame, key: str) -> Da
 
 
 def accuracy(df: DataFrame, actual: str, predicted: str) -> DataFrame:
-    hit = (quoted(actual) == quoted(predicted)).cast("double")
+    hit = quoted(actual).cast("string").eqNullSafe(quoted(predicted).cast("string")).cast("double")
     return df.agg(F.avg(hit).alias("accuracy"))
 
 
@@ -37,12 +40,14 @@ def confusion_matrix(counts: DataFrame) -> DataFrame:
     Works on the count table only. The label list is part of the result's own size.
     """
     named = counts.select("*", F.explode(F.array("actual", "predicted")).alias("name"))
-    labels = named.agg(F.sort_array(F.collect_set("name")).alias("labels"))
+    # In structs, because a set of plain values would leave null out.
+    labels = named.agg(F.transform(F.sort_array(F.collect_set(F.struct("name"))), lambda s: s["name"]).alias("labels"))
     grid = labels.select(F.explode("labels").alias("actual"), "labels").select(
         "actual", F.explode("labels").alias("predicted")
     )
-    return grid.join(counts, ["actual", "predicted"], "left").select(
-        "actual", "predicted", F.coalesce("n", F.lit(0)).cast("long").alias("n")
+    same = lambda c: F.col(f"g.{c}").eqNullSafe(F.col(f"c.{c}"))
+    return grid.alias("g").join(counts.alias("c"), same("actual") & same("predicted"), "left").select(
+        "g.actual", "g.predicted", F.coalesce("c.n", F.lit(0)).cast("long").alias("n")
     )
 
 
@@ -58,7 +63,7 @@ def _ratio(top: Column, bottom: Column) -> Column:
 def class_scores(counts: DataFrame) -> DataFrame:
     """Precision, recall, F1 and support per label; a zero denominator gives 0."""
     zero = F.lit(0).cast("long")
-    hit = F.when(F.col("actual") == F.col("predicted"), F.col("n")).otherwise(zero)
+    hit = F.when(F.col("actual").eqNullSafe(F.col("predicted")), F.col("n")).otherwise(zero)
     as_actual = F.struct(F.col("actual").alias("label"), hit.alias("tp"), F.col("n").alias("support"), zero.alias("guessed"))
     as_guess = F.struct(F.col("predicted").alias("label"), zero.alias("tp"), zero.alias("support"), F.col("n").alias("guessed"))
     sides = counts.select(F.inline(F.array(as_actual, as_guess)))

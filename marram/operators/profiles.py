@@ -73,11 +73,11 @@ def feature_profile(df: DataFrame, features: Sequence[str], probs: Sequence[floa
         marks = stacked.groupBy("feature").agg(
             *[F.percentile_approx(F.col("value").cast("double"), p, 10_000).alias(n) for p, n in names.items()]
         )
-        return base.join(marks, "feature")
+        return base.join(marks, "feature", "left")
     wide = exact_quantiles(df, features, probs).groupBy("feature").agg(
         *[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(n) for p, n in names.items()]
     )
-    return base.join(wide, "feature")
+    return base.join(wide, "feature", "left")
 
 
 def value_bounds(df: DataFrame, features: Sequence[str]) -> dict[str, tuple[float, float]]:

@@ -74,17 +74,18 @@ def trailing_threshold(
     Time is cut into blocks as long as the window, so a row's window is the end of the block
     before plus the start of its own. Both parts are running sums inside (series, rule, block):
     linear work, no series in one task, and no long sums to cancel. A sliding frame would add up
-    the whole window again for every row.
+    the whole window again for every row. A row without a time has no window: its mean is null and nothing fires.
     """
     micros = F.unix_micros(quoted(time).cast("timestamp"))
     numbered = F.array(*[
         F.struct(F.lit(i).alias("rule"), F.lit(r.minutes * 60_000_000).cast("long").alias("width"))
         for i, r in enumerate(rules)
     ])
-    rows = df.select(
+    everything = df.select(
         quoted(row_id).alias("id"), quoted(series).alias("series"), quoted(value).cast("double").alias("v"),
         micros.alias("t"), F.inline(numbered),
-    ).where(F.col("t").isNotNull()).withColumn("block", F.expr("(t - pmod(t, width)) div width"))
+    )
+    rows = everything.where(F.col("t").isNotNull()).withColumn("block", F.expr("(t - pmod(t, width)) div width"))
     nothing = F.lit(None).cast("double")
     # own: counts in its block; halo: shows itself to the next block; probe: where the window opens.
     record = lambda block, pos, own, halo, kind: F.struct(
@@ -115,7 +116,8 @@ def trailing_threshold(
     per_rule = lambda pick: F.element_at(F.array(*[F.lit(pick(r)) for r in rules]), F.col("rule") + 1)
     threshold = per_rule(lambda r: r.threshold)
     fires = F.when(per_rule(lambda r: r.above), mean > threshold).otherwise(mean < threshold)
-    judged = whole.withColumn("mean", F.when(F.col("n") > 0, F.col("total") / F.col("n")))
+    judged = whole.withColumn("mean", F.when(F.col("n") > 0, F.col("total") / F.col("n"))).select("id", "rule", "mean")
+    judged = judged.union(everything.where(F.col("t").isNull()).select("id", "rule", F.lit(None).cast("double")))
     return judged.select(
         F.col("id").alias(row_id), per_rule(lambda r: r.action).alias("action"), "mean",
         F.coalesce(fires, F.lit(False)).alias("fires"),

@@ -45,7 +45,7 @@ def monitor_daily(
         tall = tall.unionByName(part)
     shares = _stack(baseline.select(quoted(label).alias("predicted_label")), outputs, ["predicted_label"])
     tables = {
-        "drift_binned": drift.binned_drift(both, F.col("current"), {f: e for f, e in edges.items() if e}),
+        "drift_binned": drift.binned_drift(both, F.col("current"), edges),
         "drift_exact": tall,
         "prediction_drift": drift.categorical_drift(shares, "predicted_label", F.col("current")),
         "data_quality": profiles.data_quality(inputs, features, profiles.value_bounds(baseline, features)),

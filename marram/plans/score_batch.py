@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
@@ -36,10 +37,13 @@ def score_batch(
         answers.write.mode("overwrite").parquet(f"{root}/responses/batch_id={batch_id}")
         refused = scoring.rejected(predicted, request_id)
         refused.write.mode("overwrite").parquet(f"{root}/rejected/batch_id={batch_id}")
-        write_collection(
-            scoring.model_inputs(predicted, features, request_id).withColumn("collected_at", stamp),
-            scoring.model_outputs(predicted, request_id).withColumn("collected_at", stamp),
-            root, batch_id,
-        )
+        try:
+            write_collection(
+                scoring.model_inputs(predicted, features, request_id).withColumn("collected_at", stamp),
+                scoring.model_outputs(predicted, request_id).withColumn("collected_at", stamp),
+                root, batch_id,
+            )
+        except Exception:  # answers are worth more than their collection
+            logging.getLogger(__name__).exception("collection of batch %s failed", batch_id)
     finally:
         predicted.unpersist()

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -38,23 +37,12 @@ def bucket_target(spark: SparkSession) -> int:
     return max(64, min(BUCKETS_PER_TASK * shuffle_width(spark), 50_000))
 
 
-_local_root: str | None = None
-
-
 def shared_root(spark: SparkSession) -> str:
-    """The folder every executor can reach: `spark.checkpoint.dir`.
-
-    Only a local master may fall back to a temporary folder of this machine.
-    """
-    global _local_root
+    """The folder every executor can reach: `spark.checkpoint.dir`, or where that is unset one below the warehouse."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    if _local_root is None:
-        _local_root = tempfile.mkdtemp(prefix="marram-")
-    return _local_root
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 def scratch_path(spark: SparkSession, name: str, *parts: object) -> str:

@@ -6,7 +6,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -133,11 +133,15 @@ def read_feature_set(spark: SparkSession, spec: FeatureSetSpec, path: str | None
 
 
 def read_requests(spark: SparkSession, path: str, *, streaming: bool = False) -> DataFrame:
-    """Payload text, one request per line, with an id made of the body and its file position."""
+    """Payload text, one request per line, with an id made of the file, the body and its number among equal bodies.
+
+    Equal lines of a file are alike, so it does not matter which of them gets which number: ids are the same for any
+    split of the files. A stream keeps no such count; there, equal lines of one file share an id.
+    """
     source = spark.readStream if streaming else spark.read
     lines = source.schema("value string").text(path)
-    place = F.concat_ws(":", "_metadata.file_path", F.col("_metadata.file_block_start").cast("string"))
-    return lines.select(
-        F.col("value").alias("raw_data"),
-        F.md5(F.concat_ws(":", place, F.monotonically_increasing_id().cast("string"), "value")).alias("request_id"),
-    )
+    rows = lines.select(F.col("value").alias("raw_data"), F.md5(F.concat_ws(":", "_metadata.file_path", "value")).alias("key"))
+    if streaming:
+        return rows.withColumnRenamed("key", "request_id")
+    number = F.row_number().over(Window.partitionBy("key").orderBy("raw_data")).cast("string")
+    return rows.select("raw_data", F.md5(F.concat_ws(":", "key", number)).alias("request_id"))

@@ -15,7 +15,7 @@ from marram.schema import FeatureSetSpec
 # Names under which a run's results are kept.
 METRICS = "metrics"
 BEST_PARAMS = "best_params"
-SEARCH_SUMMARY = "search_summary"
+SEARCH_SUMMARY = "grid_search_summary"
 CV_RESULTS = "cv_results"
 REPORT = "classification_report"
 CONFUSION = "confusion_matrix"
