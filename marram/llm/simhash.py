@@ -151,8 +151,13 @@ def near_links(points: DataFrame, radius: int = 3, direct: int = DIRECT) -> Data
             for mask in covering_masks(places, radius):
                 children[len(rows)] = [p for p in places if not mask >> p & 1]
                 rows.append((parent, len(rows), _signed(mask)))
-        masks = spark.createDataFrame(rows, "parent int, child int, mask long")
-        split = now.join(F.broadcast(masks), F.col("mask_id") == F.col("parent")).select(
+        if level == 0:
+            mask = F.explode(F.array(*[F.struct(F.lit(c).alias("child"), F.lit(m).cast("long").alias("mask")) for _, c, m in rows]))
+            masked = now.select("x", "bucket", mask.alias("m")).select("x", "bucket", "m.child", "m.mask")
+        else:
+            masks = spark.createDataFrame(rows, "parent int, child int, mask long")
+            masked = now.join(F.broadcast(masks), F.col("mask_id") == F.col("parent"))
+        split = masked.select(
             F.xxhash64("child", "bucket", F.col("x").bitwiseAND(F.col("mask"))).alias("bucket"),
             F.col("child").alias("mask_id"), "x")
         counts = split.groupBy("bucket", "mask_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").checkpoint()
