@@ -424,8 +424,9 @@ def latest_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("traffic_shares", """
-    with t as (select o_orderpriority as endpoint, o_orderstatus as deployment, count(*) as t from orders
-               where not (o_orderpriority = '1-URGENT' and o_orderstatus <> 'F') group by 1, 2),
+    with t as (select o_orderpriority as endpoint,
+                      case when o_orderpriority = '1-URGENT' then 'F' else o_orderstatus end as deployment, count(*) as t
+               from orders group by 1, 2),
     g as (select endpoint, coalesce(sum(case when deployment = 'F' then t end), 0) as target_traffic,
                  sum(case when deployment <> 'F' then t end) as rest from t group by 1)
     select g.endpoint, cast(target_traffic as bigint) as target_traffic, target_traffic > 0 as has_traffic,
@@ -434,8 +435,9 @@ def latest_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     from g left join t on t.endpoint = g.endpoint and t.deployment <> 'F'
 """)
 def traffic_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = load(spark, sf_dir, "orders").where("not (o_orderpriority = '1-URGENT' and o_orderstatus <> 'F')")
-    traffic = orders.select(F.col("o_orderpriority").alias("endpoint"), F.col("o_orderstatus").alias("deployment"),
-                            F.lit(1).alias("requests"))
+    # One endpoint sends everything to the deployment that is taken away.
+    target = F.when(F.col("o_orderpriority") == "1-URGENT", "F").otherwise(F.col("o_orderstatus"))
+    traffic = load(spark, sf_dir, "orders").select(
+        F.col("o_orderpriority").alias("endpoint"), target.alias("deployment"), F.lit(1).alias("requests"))
     left = catalogs.traffic_shares(traffic, "endpoint", "deployment", "requests", "F")
     return left.withColumn("share_left", F.round("share_left", 9))

@@ -132,18 +132,18 @@ def rejected_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _collected(spark: SparkSession, sf_dir: str, name: str) -> tuple[DataFrame, DataFrame]:
-    """Write both collections of all requests, outputs of every ninth request lost on the way."""
+    """Write both collections of all requests and read them back."""
     root = scratch_path(spark, name, sf_dir)
     predicted = predicted_requests(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
-    outputs = scoring.model_outputs(predicted, "event_id").where(F.col("correlation_id") % 9 != 0)
-    write_collection(scoring.model_inputs(predicted, EVENTS.features, "event_id"), outputs, root, 0)
+    write_collection(scoring.model_inputs(predicted, EVENTS.features, "event_id"),
+                     scoring.model_outputs(predicted, "event_id"), root, 0)
     predicted.unpersist()
     return read_collection(spark, root)
 
 
 @query("collect_correlated", f"""
     with {ROWS_SQL}
-    select event_id as correlation_id, row_pos, value, k, "user", hour, prediction, predicted_label from o where event_id % 9 <> 0
+    select event_id as correlation_id, row_pos, value, k, "user", hour, prediction, predicted_label from o
 """)
 def collect_correlated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.correlate(*_collected(spark, sf_dir, "collect_correlated"))
@@ -151,10 +151,12 @@ def collect_correlated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("unscored_inputs", f"""
     with {ROWS_SQL}
-    select event_id as correlation_id, row_pos, value, k, "user", hour from o where event_id % 9 = 0
+    select event_id as correlation_id, row_pos, value, k, "user", hour from o where predicted_label = '7'
 """)
 def unscored_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scoring.unscored(*_collected(spark, sf_dir, "unscored_inputs"))
+    """All inputs against the outputs that got a class name; code 7 has none and stands for lost outputs."""
+    inputs, outputs = _collected(spark, sf_dir, "unscored_inputs")
+    return scoring.unscored(inputs, outputs.where(F.col("predicted_label") != "7"))
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,22 +23,42 @@ def learning_curve_scores(
     steps: int = 5,
     seed: int = DEFAULT_SEED,
     parallelism: int = 8,
+    preprocess: Pipeline | None = None,
 ) -> DataFrame:
-    """(fold, step, train_rows, train_score, validation_score) from (label, features, fold, prefix_steps)."""
-    settings = forest_settings(params)
+    """(fold, step, train_rows, train_score, validation_score) from (label, features, fold, prefix_steps).
+
+    `preprocess` is for stages that learn from the rows: it is fitted on each sample anew, so held-out
+    rows never shape it. Leave it out when `features` is ready; then one pass judges all samples.
+    """
+    spark, settings = prepared.sparkSession, forest_settings(params)
     rows = []
     for fold in range(folds):
         first_step = F.col("prefix_steps")[fold]
         samples = [prepared.where(first_step <= step) for step in range(1, steps + 1)]
-        models = in_parallel(prepared.sparkSession, [lambda s=s: build_forest(seed, **settings).fit(s) for s in samples], parallelism)
-        valid = accuracies(prepared.where(F.col("fold") == fold), models)
-        train = _nested_accuracies(prepared.where(first_step.isNotNull()), first_step, models)
+        held = prepared.where(F.col("fold") == fold)
+        if preprocess is None:
+            models = in_parallel(spark, [lambda s=s: build_forest(seed, **settings).fit(s) for s in samples], parallelism)
+            valid = accuracies(held, models)
+            train = _nested_accuracies(prepared.where(first_step.isNotNull()), first_step, models)
+        else:
+            judged = in_parallel(
+                spark, [lambda s=s: _judge_sample(s, held, preprocess, seed, settings) for s in samples], parallelism)
+            train, valid = [j[:2] for j in judged], [j[2] for j in judged]
         rows += [(fold, i + 1, *train[i], valid[i]) for i in range(steps)]
     return prepared.sparkSession.createDataFrame(
         rows, "fold int, step int, train_rows long, train_score double, validation_score double"
     )
 
 
+def _judge_sample(sample: DataFrame, held: DataFrame, preprocess: Pipeline, seed: int,
+                  settings: Mapping[str, object]) -> tuple[int, float, float]:
+    """Rows, accuracy on the sample and accuracy on the held-out rows of one sample's own pipeline and forest."""
+    stages = preprocess.fit(sample)
+    own = stages.transform(sample)
+    model = build_forest(seed, **settings).fit(own)
+    return sample.count(), accuracies(own, [model])[0], accuracies(stages.transform(held), [model])[0]
+
+
 def _nested_accuracies(df: DataFrame, first_step, models: list) -> list[tuple[int, float]]:
     """Rows and accuracy of model i on sample i; samples are nested, so one pass serves all."""
     df = add_predictions(df, models)

@@ -38,15 +38,16 @@ def forest_settings(params: Mapping[str, object]) -> dict[str, int]:
     """Search parameters in Spark's terms.
 
     There is no minimum node size here, only a minimum child size. A node must hold `split` rows
-    to be cut, so each child is asked to hold half of that, or the leaf minimum if larger. Settings
-    that become equal this way are fitted once.
+    to be cut, so each child is asked to hold half of that, rounded up, or the leaf minimum if
+    larger: no smaller node is ever cut, though some legal uneven cuts are refused. Settings that
+    become equal this way are fitted once.
     """
     get = lambda name, default: params.get(f"model__{name}", params.get(name, default))
     depth = get("max_depth", None)
     return {
         "numTrees": int(get("n_estimators", DEFAULT_TREES)),
         "maxDepth": DEEPEST if depth is None else min(int(depth), DEEPEST),
-        "minInstancesPerNode": max(int(get("min_samples_leaf", 1)), int(get("min_samples_split", 2)) // 2),
+        "minInstancesPerNode": max(int(get("min_samples_leaf", 1)), -(-int(get("min_samples_split", 2)) // 2)),
     }
 
 

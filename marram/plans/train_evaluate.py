@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark import StorageLevel
-from pyspark.ml import PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -82,7 +82,7 @@ class TrainEvaluate:
             self._judge(rows, model, "holdout", best_cv_score=found.best_score, **best)
             self._write_search(found)
             if self.curves:
-                self._write_curves(prepared if per_fold is None else ready.transform(prepared), found)
+                self._write_curves(prepared, found, per_fold)
         finally:
             prepared.unpersist()
         inputs = list(self.table.features) if self.table else ["features"]
@@ -148,10 +148,14 @@ class TrainEvaluate:
                                 "candidates": found.candidates})
         sinks.write_artifact(found.results, f"{self.folder}/holdout", sinks.CV_RESULTS, format="csv")
 
-    def _write_curves(self, prepared: DataFrame, found: SearchResult) -> None:
-        scores = curve_ops.learning_curve_scores(prepared, found.best_params, folds=self.folds,
-                                                 seed=self.model_seed, parallelism=self.parallelism)
-        errors = curve_ops.oob_curve(prepared, self.key, found.best_params, classes=self._classes(),
+    def _write_curves(self, prepared: DataFrame, found: SearchResult, per_fold: Pipeline | None) -> None:
+        """The learning curve scales each sample by itself; the out-of-bag curve takes plain features."""
+        scores = curve_ops.learning_curve_scores(prepared, found.best_params, folds=self.folds, seed=self.model_seed,
+                                                 parallelism=self.parallelism, preprocess=per_fold)
+        plain = prepared
+        if per_fold is not None:
+            plain = preprocessing_pipeline(self.table).fit(prepared).transform(prepared)
+        errors = curve_ops.oob_curve(plain, self.key, found.best_params, classes=self._classes(),
                                      seed=self.model_seed, parallelism=self.parallelism)
         self._write("holdout", {"learning_curve": curve_ops.learning_curve(scores), "oob_curve": errors})
 

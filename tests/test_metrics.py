@@ -98,7 +98,7 @@ def test_grid_order_and_settings():
     assert list(grid[0]) == ["model__max_depth", "model__min_samples_leaf", "model__min_samples_split", "model__n_estimators"]
     assert [g["model__n_estimators"] for g in grid[:4]] == [50, 100, 200, 50]
     assert forest_settings({"model__max_depth": None}) == {"numTrees": 100, "maxDepth": 30, "minInstancesPerNode": 1}
-    assert forest_settings({"min_samples_split": 5, "min_samples_leaf": 1})["minInstancesPerNode"] == 2
+    assert forest_settings({"min_samples_split": 5, "min_samples_leaf": 1})["minInstancesPerNode"] == 3
 
 
 def test_cv_table_ties(spark):

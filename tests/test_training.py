@@ -56,6 +56,17 @@ def test_learning_curve(prepared):
     assert all(0 <= r.validation_mean <= 1 for r in means) and means[-1].train_mean > 0.9
 
 
+def test_learning_curve_scales_each_sample(flowers):
+    coded = flowers.withColumn("code", encode_label(F.col("species"), FLOWERS.codes)).withColumn("features", F.lit(None))
+    folded = with_prefix_steps(stratified_kfold(coded, "row_key", "code", folds=3), "row_key", "fold", folds=3)
+    raw = training_table(folded, "row_key", "code", 3, "fold", "prefix_steps", *FLOWERS.features).drop("features").persist()
+    scores = curves.learning_curve_scores(raw, {"n_estimators": 3, "max_depth": 3}, folds=1, steps=5,
+                                          preprocess=preprocessing_pipeline(FLOWERS, use_scaling=True))
+    rows = scores.orderBy("step").collect()
+    assert [r.train_rows for r in rows] == [20, 40, 60, 80, 100]
+    assert all(0 <= r.validation_score <= 1 for r in rows) and rows[-1].train_score > 0.9
+
+
 def test_ensemble_sizes():
     assert curves.ensemble_sizes(50) == list(range(5, 51, 5))
     assert curves.ensemble_sizes(200) == list(range(20, 201, 20))

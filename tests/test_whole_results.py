@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -84,3 +85,12 @@ def test_request_ids_do_not_depend_on_splits(spark, tmp_path):
         ids.append(sorted(r.request_id for r in read_requests(spark, str(tmp_path)).collect()))
     spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert ids[0] == ids[1] and len(set(ids[0])) == 2000
+
+
+def test_edges_split_tied_values():
+    from marram.operators.ranking import _even_edges
+
+    sample = np.concatenate([np.full(198_000, 0.5), np.linspace(0, 1, 2000)])
+    edges = _even_edges(sample, 64)
+    load = np.bincount(np.searchsorted(edges, np.unique(sample), side="right"))
+    assert len(edges) >= 32 and load.max() <= 2 * 2001 / 64 + 1
