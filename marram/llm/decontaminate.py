@@ -42,16 +42,28 @@ def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
     return mix(total)
 
 
-def simhash_rows(hashes: np.ndarray, valid: np.ndarray) -> np.ndarray:
-    """SimHash of each row of a 2-d array of shingle hashes, counting valid entries only."""
-    out = np.empty(len(hashes), dtype=np.uint64)
-    for low in range(0, len(hashes), 1024):
-        part, ok = hashes[low:low + 1024], valid[low:low + 1024]
-        bits = np.unpackbits(np.ascontiguousarray(part).view(np.uint8).reshape(*part.shape, 8), axis=2, bitorder="little")
-        ones = (bits.reshape(len(part), part.shape[1], BITS) * ok[:, :, None].astype(np.uint8)).sum(axis=1, dtype=np.int64)
-        over = ones * 2 > ok.sum(axis=1)[:, None]
-        out[low:low + 1024] = np.packbits(over, axis=1, bitorder="little").view(np.uint64)[:, 0]
-    return out
+def expand(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """All whole numbers of the ranges low:high, one range after the other."""
+    n = high - low
+    return np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
+
+
+def window_prints(hashes: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """SimHash of hashes[low:high] for windows whose two ends never go back: a bit is 1 if set in over half.
+
+    Bits are summed along the hashes that some window holds, each taken once, so overlapping windows cost a
+    subtraction each and not their length.
+    """
+    high = np.maximum(high, low)
+    fresh = low.copy()
+    fresh[1:] = np.maximum(low[1:], high[:-1])
+    rows = hashes[expand(fresh, np.maximum(high, fresh))]
+    bits = np.unpackbits(rows.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    sums = np.zeros((len(rows) + 1, BITS), dtype=np.int32)
+    np.cumsum(bits, axis=0, dtype=np.int32, out=sums[1:])
+    stop, size = np.cumsum(np.maximum(high - fresh, 0)), high - low
+    over = (sums[stop] - sums[stop - size]) * 2 > size[:, None]
+    return np.packbits(over, axis=1, bitorder="little").view(np.uint64)[:, 0]
 
 
 def weighted_similarity(a: Counter, b: Counter) -> float:
@@ -129,7 +141,7 @@ class BenchmarkIndex:
         self.filter[(self.shingles & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)] = True
         self.by_size: dict[int, SizeIndex] = {}
         for size, members in by_size.items():
-            prints = np.array([simhash_rows(h[None, :], np.ones((1, len(h)), bool))[0] for _, h in members])
+            prints = np.array([window_prints(h, np.array([0]), np.array([len(h)]))[0] for _, h in members])
             blocks = np.ascontiguousarray(prints).view(np.uint8).reshape(-1, BLOCKS)
             starts, lists = np.zeros((BLOCKS, 257), dtype=np.int64), []
             for b in range(BLOCKS):
@@ -145,7 +157,7 @@ class BenchmarkIndex:
 
         A window without one has similarity 0, so nothing is lost; all others get a fingerprint.
         """
-        found: dict[int, list[np.ndarray]] = {}
+        found: dict[int, np.ndarray] = {}
         for s in self.shingle_sizes:
             h = shingle_hashes(hashes, s)
             at = np.flatnonzero(self.filter[(h & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)])
@@ -157,11 +169,11 @@ class BenchmarkIndex:
             for z in np.unique(size):
                 if min(SHINGLE, z) == s:
                     hits = place[size == z]
-                    starts = (hits[:, None] - np.arange(z - s + 1)[None, :]).ravel()
-                    doc = np.repeat(words.doc[hits], z - s + 1)
-                    # Windows stop at the document's edges.
-                    found.setdefault(int(z), []).append(np.unique(np.maximum(starts, words.first[doc])))
-        return {z: np.unique(np.concatenate(x)) for z, x in found.items()}
+                    # Windows stop at the document's edges; those of the hit before are there already.
+                    first = np.maximum(hits - (z - s), words.first[words.doc[hits]])
+                    first[1:] = np.maximum(first[1:], hits[:-1] + 1)
+                    found[int(z)] = expand(first, hits + 1)
+        return found
 
     def matches(self, chunk: Chunk) -> dict[int, list[tuple[int, float, int, int]]]:
         """Per document of the chunk: its best window for each item it contains, (item, similarity, place, words)."""
@@ -174,10 +186,8 @@ class BenchmarkIndex:
             all_shingles = shingle_hashes(hashes, index.shingle)
             for part in np.array_split(starts, max(1, len(starts) // 4096)):
                 end = words.first[words.doc[part] + 1]
-                place = part[:, None] + np.arange(width)[None, :]
-                valid = place + index.shingle <= end[:, None]
-                rows = all_shingles[np.minimum(place, max(len(all_shingles) - 1, 0))]
-                window, item = index.near(simhash_rows(rows, valid))
+                prints = window_prints(all_shingles, part, np.minimum(part + width, end - index.shingle + 1))
+                window, item = index.near(prints)
                 for w, i in zip(window.tolist(), index.items[item].tolist()):
                     first = int(part[w])
                     stop = min(first + z, int(end[w]))

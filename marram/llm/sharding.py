@@ -14,6 +14,8 @@ from marram.session import ensure_checkpoint_dir
 BUNDLES_PER_SHARD = 128
 ALONE_PER_SHARD = 32
 CUT_ABOVE, PIECE = 8, 4  # in units of 1/32 of a shard
+# Rows of a packed item are numbered in so many parts, each a task's sort of its own.
+PARTS = 16
 
 
 def pack(items: np.ndarray, n_shards: int) -> np.ndarray:
@@ -38,8 +40,8 @@ def with_shards(docs: DataFrame, n_shards: int = 24, keep_text: bool = True) ->
     Groups are equal texts (null texts are one group of empty ones). A group stays together while it is
     no larger than 1/4 of a shard; larger ones are cut by id into pieces of about 1/8, or no packing could
     be even. The packer sees bundles of small groups and those pieces, a few thousand vectors for any
-    table, so it runs on the driver. Slots come from the sizes of the packed items and a
-    numbering within each, never within a whole shard. Repeated rows get slots of their own.
+    table, so it runs on the driver; so do the sizes of their parts. Slots come from the sizes of the packed items and of
+    16 parts by id of each, and a numbering within a part, never within a whole shard. Repeated rows get slots of their own.
     """
     spark = docs.sparkSession
     ensure_checkpoint_dir(spark)
@@ -66,22 +68,21 @@ def with_shards(docs: DataFrame, n_shards: int = 24, keep_text: bool = True) ->
         alone = F.col("_pieces").isNotNull()
         return marked.withColumns({
             "_item": F.when(alone, F.col("_group")).otherwise(F.pmod("_group", F.lit(n_shards * BUNDLES_PER_SHARD))),
-            "_piece": F.when(alone, F.pmod("_id_hash", F.col("_pieces"))).otherwise(-1).cast("int")}).drop("_pieces")
+            "_piece": F.when(alone, F.pmod("_id_hash", F.col("_pieces"))).otherwise(-1).cast("int"),
+            "_part": F.pmod(F.shiftright("_id_hash", 24), F.lit(PARTS)).cast("int")}).drop("_pieces")
 
-    items = itemised(narrow).groupBy("_item", "_piece").agg(
+    spans = itemised(narrow).groupBy("_item", "_piece", "_part").agg(
         F.sum("_size").alias("bytes"), F.sum("_words").alias("tokens"), F.count(F.lit(1)).alias("rows"))
-    packed = items.orderBy("_item", "_piece").toPandas()
-    shards = pack(packed[["bytes", "tokens", "rows"]].to_numpy(dtype=np.float64), n_shards)
-    offsets = np.zeros(len(packed), dtype=np.int64)
-    counts = packed["rows"].to_numpy(dtype=np.int64)
-    for s in range(n_shards):
-        mine = shards == s
-        offsets[mine] = np.cumsum(counts[mine]) - counts[mine]
+    spans = spans.orderBy("_item", "_piece", "_part").toPandas()
+    items = spans.groupby(["_item", "_piece"], sort=True)
+    shard = pack(items[["bytes", "tokens", "rows"]].sum().to_numpy(dtype=np.float64), n_shards)[items.ngroup().to_numpy()]
+    # Within a shard, parts follow each other in the order of the table.
+    offset = spans["rows"].groupby(shard).cumsum() - spans["rows"]
     places = spark.createDataFrame(
-        [(int(a), int(b), int(s), int(o)) for a, b, s, o in zip(packed["_item"], packed["_piece"], shards, offsets)],
-        "_item long, _piece int, _shard int, _offset long")
-    order = Window.partitionBy("_item", "_piece").orderBy("doc_id", "_text_crc32")
-    placed = itemised(keyed).join(F.broadcast(places), ["_item", "_piece"])
+        [tuple(map(int, r)) for r in zip(spans["_item"], spans["_piece"], spans["_part"], shard, offset)],
+        "_item long, _piece int, _part int, _shard int, _offset long")
+    order = Window.partitionBy("_item", "_piece", "_part").orderBy("doc_id", "_text_crc32")
+    placed = itemised(keyed).join(F.broadcast(places), ["_item", "_piece", "_part"])
     columns = [c for c in docs.columns if keep_text or c != "text"]
     return placed.withColumn("_slot", F.col("_offset") + F.row_number().over(order) - 1).select(
         *columns, "_size", "_text_crc32", "_shard", "_slot")
