@@ -186,11 +186,15 @@ def with_line_verdicts(docs: DataFrame, rules: LineRules = LineRules(), text: st
 
 def clean_documents(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
     """The documents that pass, under their own columns: failing lines are gone and `n_chars` is counted anew."""
-    judged = with_line_verdicts(docs, rules)
-    kept = judged.where(F.col("line_quality.kept")).withColumn("text", F.col("line_quality.cleaned"))
+    q = F.col("line_quality")
+    fields = [q["cleaned"].alias("text")]
     if "n_chars" in docs.columns:
-        kept = kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return kept.select(*docs.columns)
+        fields.append(F.length(q["cleaned"]).cast(docs.schema["n_chars"].dataType).alias("n_chars"))
+    # One entry for a document that passes, none otherwise. A filter on the verdict would be pushed below the
+    # columns that it is made of, and Catalyst would then write out the whole rule set once per use.
+    passed = F.when(q["kept"], F.array(F.struct(*fields))).otherwise(F.array())
+    rest = [c for c in docs.columns if c not in ("text", "n_chars")]
+    return with_line_verdicts(docs, rules).select(*rest, F.inline(passed)).select(*docs.columns)
 
 
 def quality_report(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
