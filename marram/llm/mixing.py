@@ -69,7 +69,9 @@ def _cuts(narrow: DataFrame, targets: DataFrame) -> DataFrame:
     before = spans.withColumn("before", F.sum("n").over(order) - F.col("n"))
     same = lambda a, b: a["source"].eqNullSafe(b["source"])
     held = before.alias("b").join(plan.alias("p"), F.col("b.source").eqNullSafe(F.col("p.source"))).where(
-        "b.before <= p.rest and p.rest < b.before + b.n").select("b.source", "b.range", "b.before", "p.rest")
+        "b.before <= p.rest and p.rest < b.before + b.n").select("b.source", "b.range", "b.before", "p.rest").checkpoint()
+    # One row per source. Written, it no longer lies by source, which would draw all rows of a source to one task.
+    held = F.broadcast(held) if held.count() <= BROADCAST_SOURCES else held
     inside = narrow.alias("r").join(held.alias("h"), F.col("r.source").eqNullSafe(F.col("h.source"))
                                     & (F.col("r.range") == F.col("h.range")))
     inside = inside.select("r.source", "r.key", "r.row_key", "r.size", "h.before", "h.rest")

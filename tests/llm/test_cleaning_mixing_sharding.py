@@ -68,6 +68,22 @@ def test_mixed_documents_follow_the_report(docs):
     assert got == Counter({k: v for k, v in copies.items() if v})
 
 
+def test_many_sources_are_joined_by_shuffle(docs, monkeypatch):
+    key = lambda r: r.doc_id
+    want = sorted(mixing.mix_report(docs).collect(), key=key)
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 0)
+    assert sorted(mixing.mix_report(docs).collect(), key=key) == want
+
+
+def test_clean_documents_follow_the_report(docs, odd_docs, no_docs):
+    for df in (docs, odd_docs, no_docs):
+        kept = Counter(r.doc_id for r in cleaning.quality_report(df).collect() if r.kept)
+        got = cleaning.clean_documents(df)
+        rows = got.collect()
+        assert got.columns == df.columns and Counter(r.doc_id for r in rows) == kept
+        assert all(r.n_chars == len(r.text) for r in rows)
+
+
 def test_targets_stop_at_three_times_the_size(spark):
     sizes = spark.createDataFrame([("a", 1000), ("b", 10), ("c", 10)], "source string, source_size long")
     got = {r.source: r.target for r in mixing.source_targets(sizes).collect()}
