@@ -208,7 +208,12 @@ def one_of_each_class(docs: DataFrame, radius: int = 3) -> DataFrame:
     keyed = docs.select("text", order.alias("o"))
     marked = with_fingerprint(keyed, keep=("o",)).withColumnRenamed("fingerprint", "x").checkpoint()
     points = marked.groupBy("x").agg(F.min("o").alias("o")).checkpoint()
-    stay = near_classes(points, radius).join(points, "x").groupBy("root").agg(F.min("o").alias("o"))
+    return one_per_root(docs, near_classes(points, radius).join(points, "x"))
+
+
+def one_per_root(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The row with the least `o` (doc_id and the hash of all columns) of each `root` of `classes`, whole."""
+    stay = classes.groupBy("root").agg(F.min("o").alias("o"))
     stay = stay.select(F.col("o.doc_id").alias("_stay_id"), F.col("o.row").alias("_stay_row"))
     kept = docs.withColumn("_stay", F.xxhash64(*docs.columns)).join(
         stay, F.col("doc_id").eqNullSafe(F.col("_stay_id")) & (F.col("_stay") == F.col("_stay_row")), "left_semi")
