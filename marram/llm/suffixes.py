@@ -218,14 +218,16 @@ def _anchor_table(docs: DataFrame, length: int) -> DataFrame:
 
 def _contexts(found: DataFrame, texts: DataFrame, length: int) -> DataFrame:
     """The bytes of the wanted contexts, cut out of their texts."""
-    per_doc = found.groupBy("doc", "copy").agg(F.collect_list(F.struct("h", "start", "n")).alias("wanted"))
+    per_doc = found.groupBy("doc", "copy").agg(F.collect_set(F.struct("h", "start", "n")).alias("wanted"))
     joined = texts.join(per_doc, (F.col("_doc") == F.col("doc")) & (F.col("_copy") == F.col("copy")), "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()  # repeated rows are cut once a task
         for batch in batches:
             for doc, copy, text, wanted in zip(*(batch.column(k) for k in range(1, 5))):
-                if not wanted.is_valid:
+                if not wanted.is_valid or (at := (doc.as_py(), copy.as_py())) in seen:
                     continue
+                seen.add(at)
                 raw, w = memoryview(text.as_buffer()), wanted.values
                 starts, ns = np.asarray(w.field("start")), np.asarray(w.field("n"))
                 # Slices only: a document's contexts overlap little.
@@ -248,6 +250,9 @@ def _suffix_marks(contexts: DataFrame, length: int) -> DataFrame:
     rows = contexts.repartition("h").sortWithinPartitions("h", "doc", "copy", "start")
 
     def settle(table: pa.Table) -> pa.RecordBatch:
+        # Rows that are one document repeated bring a place more than once; such rows lie side by side.
+        places = np.stack([np.asarray(table.column(c).combine_chunks()) for c in ("h", "doc", "copy", "start")])
+        table = table.filter(pa.array(np.append(True, (places[:, 1:] != places[:, :-1]).any(axis=0))))
         doc, copy, start, n = (np.asarray(table.column(c).combine_chunks()) for c in ("doc", "copy", "start", "n"))
         order = np.lexsort((start, copy, doc))
         rank = np.empty(len(order), dtype=np.int64)
