@@ -35,8 +35,8 @@ PART_BYTES = 1 << 21
 BATCH_CONTEXTS = 8192
 HOT_CONTEXTS = 20_000
 NO_ID = -(1 << 63)  # stands for a null id: first in order
-# A context's place in one long: start (36 bits), number of the text under its id (20), settled (1), windows (7).
-START_BIT, COPY_BIT, SETTLED_BIT = 28, 8, 7
+# A context's place in one long: start (56 bits), settled (1), windows (7). The text under its id is a column of its own.
+START_BIT, SETTLED_BIT = 8, 7
 
 
 def rolling_hashes(buf: np.ndarray, size: int) -> np.ndarray:
@@ -169,10 +169,6 @@ def _start(place: Column) -> Column:
     return F.shiftright(place, START_BIT)
 
 
-def _copy(place: Column) -> Column:
-    return F.shiftright(place, COPY_BIT).bitwiseAND(F.lit((1 << START_BIT - COPY_BIT) - 1))
-
-
 def _windows(place: Column) -> Column:
     return place.bitwiseAND(F.lit((1 << SETTLED_BIT) - 1))
 
@@ -182,9 +178,9 @@ def _settled(place: Column) -> Column:
 
 
 def _anchor_table(docs: DataFrame, length: int) -> DataFrame:
-    """(h, c, doc, place): anchor hash, context hash, document, and where the context's windows start.
+    """(h, c, doc, copy, place): anchor hash, context hash, document, and where the context's windows start.
 
-    These rows are what is shuffled, a few for every hundred bytes of text, so they hold four numbers only.
+    These rows are what is shuffled, a few for every hundred bytes of text, so they hold five numbers only.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,14 +202,14 @@ def _anchor_table(docs: DataFrame, length: int) -> DataFrame:
                         # Rows that are one document repeated do not count as earlier copies of each other.
                         head = order[np.maximum.accumulate(np.where(np.append(False, same), 0, np.arange(len(order))))]
                         settled[order] &= ~((who[order] == who[head]) & (copy[order] == copy[head]) & (start[order] == start[head]))
-                    place = start << START_BIT | copy << COPY_BIT | settled.astype(np.int64) << SETTLED_BIT | n
+                    place = start << START_BIT | settled.astype(np.int64) << SETTLED_BIT | n
                     # Settled rows are dealt out one by one, so a hot anchor brings a row per chunk at most.
                     h = np.where(settled, mix(h + start.astype(np.uint64) * np.uint64(5) + who.astype(np.uint64)), h)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(h.view(np.int64)), pa.array(c.view(np.int64)), pa.array(who), pa.array(place)],
-                        names=["h", "c", "doc", "place"])
+                        [pa.array(h.view(np.int64)), pa.array(c.view(np.int64)), pa.array(who), pa.array(copy), pa.array(place)],
+                        names=["h", "c", "doc", "copy", "place"])
 
-    return docs.select("_doc", "_copy", "text").mapInArrow(run, "h long, c long, doc long, place long")
+    return docs.select("_doc", "_copy", "text").mapInArrow(run, "h long, c long, doc long, copy long, place long")
 
 
 def _contexts(found: DataFrame, texts: DataFrame, length: int) -> DataFrame:
@@ -308,19 +304,13 @@ def _window_marks(contexts: DataFrame, length: int) -> DataFrame:
 def _keyed(docs: DataFrame) -> DataFrame:
     """doc_id, text, and the document's place in the order: `_doc` (its id) and `_copy` (0 where ids are unique).
 
-    Texts under one id are numbered by their hash. Only ids that occur with several texts are ever looked at.
+    Where some id occurs with several texts, `_copy` is the text's hash, which orders them without a window.
     """
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"),
                        F.coalesce("doc_id", F.lit(NO_ID)).cast("long").alias("_doc"))
     hashed = rows.select("_doc", F.xxhash64("text").alias("_hash"))
-    several = hashed.groupBy("_doc").agg(F.min("_hash").alias("a"), F.max("_hash").alias("b")).where("a != b").select("_doc")
-    several = several.checkpoint()
-    if several.isEmpty():
-        return rows.withColumn("_copy", F.lit(0).cast("long"))
-    texts = hashed.join(several, "_doc", "left_semi").distinct().withColumn(
-        "_copy", F.row_number().over(Window.partitionBy("_doc").orderBy("_hash")).cast("long")).checkpoint()
-    return rows.withColumn("_hash", F.xxhash64("text")).join(texts, ["_doc", "_hash"], "left").select(
-        "doc_id", "text", "_doc", F.coalesce("_copy", F.lit(0).cast("long")).alias("_copy"))
+    several = hashed.groupBy("_doc").agg(F.min("_hash").alias("a"), F.max("_hash").alias("b")).where("a != b")
+    return rows.withColumn("_copy", F.lit(0).cast("long") if several.isEmpty() else F.xxhash64("text"))
 
 
 def repeat_marks(keyed: DataFrame, length: int = LENGTH, hot: int = HOT_CONTEXTS) -> DataFrame:
@@ -328,16 +318,16 @@ def repeat_marks(keyed: DataFrame, length: int = LENGTH, hot: int = HOT_CONTEXTS
     spark = keyed.sparkSession
     place = F.col("place")
     anchor = Window.partitionBy("h", _settled(place))
-    order = Window.partitionBy("h", _settled(place), "c").orderBy("doc", _copy(place), _start(place))
+    order = Window.partitionBy("h", _settled(place), "c").orderBy("doc", "copy", _start(place))
     ranked = _anchor_table(keyed, length).repartition("h").withColumns({
         "least": F.min("c").over(anchor), "greatest": F.max("c").over(anchor), "rank": F.rank().over(order)})
     # Anchors seen once are gone after this. What stays is written, small and compressed, and read twice.
     later = _settled(place) | (F.col("rank") > 1)
     path = f"{shared_root(spark)}/repeats-{uuid.uuid4().hex}"
     ranked.where(later | (F.col("least") != F.col("greatest"))).select(
-        F.when(~later, F.col("h")).alias("h"), "doc", "place").write.option("compression", "zstd").parquet(path)
-    kept = spark.read.schema("h long, doc long, place long").parquet(path).select(
-        "h", "doc", _copy(place).alias("copy"), _start(place).alias("start"), _windows(place).alias("n"))
+        F.when(~later, F.col("h")).alias("h"), "doc", "copy", "place").write.option("compression", "zstd").parquet(path)
+    kept = spark.read.schema("h long, doc long, copy long, place long").parquet(path).select(
+        "h", "doc", "copy", _start(place).alias("start"), _windows(place).alias("n"))
     whole = kept.where("h is null").select(
         "doc", "copy", F.col("start").alias("low"), (F.col("start") + F.col("n") + (length - 1)).alias("high"))
     firsts = kept.where("h is not null")
