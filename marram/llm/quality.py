@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -56,23 +56,52 @@ def index_vectors(n: int, seed: int) -> np.ndarray:
     return out
 
 
-def context_vectors(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def _entries(index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places and signs of each index vector's NONZERO entries."""
+    places = np.nonzero(index)[1].reshape(len(index), NONZERO)
+    return places, np.take_along_axis(index, places, axis=1).astype(np.float64)
+
+
+def context_sums(columns: Iterable[pa.Array]) -> tuple[np.ndarray, np.ndarray]:
+    """The index vectors around every word and every shape, summed over all texts. Whole numbers, so any order gives the same."""
+    entries = [_entries(index_vectors(VOCABULARY, 1)), _entries(index_vectors(SHAPES, 2))]
+    tables = np.zeros(VOCABULARY * WIDTH), np.zeros(SHAPES * WIDTH)
+    for column in columns:
+        for _, first, w, s in word_ids(column):
+            doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
+            for (places, signs), ids, table in zip(entries, (w, s), tables):
+                for step in range(1, CONTEXT + 1):
+                    if len(ids) > step:
+                        near = doc[step:] == doc[:-step]
+                        left, right = ids[:-step][near], ids[step:][near]
+                        for own, other in ((left, right), (right, left)):
+                            table += np.bincount((own[:, None] * WIDTH + places[other]).ravel(), weights=signs[other].ravel(),
+                                                 minlength=len(table))
+    return tuple(t.reshape(-1, WIDTH) for t in tables)
+
+
+def unit_vectors(sums: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Random indexing: a word's vector is its own index vector plus those of the words around it, summed, unit length."""
-    words, shapes = index_vectors(VOCABULARY, 1), index_vectors(SHAPES, 2)
-    tables = words.astype(np.float64), shapes.astype(np.float64)
-    for _, first, w, s in word_ids(texts):
-        doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
-        for index, ids, table in ((words, w, tables[0]), (shapes, s, tables[1])):
-            for step in range(1, CONTEXT + 1):
-                if len(ids) > step:
-                    near = doc[step:] == doc[:-step]
-                    left, right = ids[:-step][near], ids[step:][near]
-                    for d in range(WIDTH):
-                        table[:, d] += np.bincount(left, weights=index[right, d], minlength=len(table))
-                        table[:, d] += np.bincount(right, weights=index[left, d], minlength=len(table))
+    tables = index_vectors(VOCABULARY, 1) + sums[0], index_vectors(SHAPES, 2) + sums[1]
     return tuple((t / np.maximum(np.linalg.norm(t, axis=1, keepdims=True), 1e-9)).astype(np.float32) for t in tables)
 
 
+def corpus_vectors(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Word and shape vectors from all documents: each task sums its own, and the sums are merged by id, a table of fixed size."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.concatenate(context_sums(batch.column(0) for batch in batches))
+        ids = np.flatnonzero(sums.any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(ids), *(pa.array(sums[ids, k]) for k in range(WIDTH))], names=names)
+
+    names = ["id", *(f"d{k}" for k in range(WIDTH))]
+    parts = docs.select("text").mapInArrow(run, ", ".join(["id long", *(f"{c} double" for c in names[1:])]))
+    table = parts.groupBy("id").agg(*(F.sum(c).alias(c) for c in names[1:])).toArrow()
+    sums = np.zeros((VOCABULARY + SHAPES, WIDTH))
+    sums[table.column("id").to_numpy()] = np.stack([table.column(c).to_numpy() for c in names[1:]], axis=1)
+    return unit_vectors((sums[:VOCABULARY], sums[VOCABULARY:]))
+
+
 @dataclass
 class QualityModel:
     words: np.ndarray
@@ -104,10 +133,11 @@ class QualityModel:
         return sigmoid(self.logits(self.pooled(column)) / self.temperature).astype(np.float64)
 
 
-def fit(texts: pa.Array, labels: np.ndarray, epochs: int = 60, seed: int = 7) -> QualityModel:
+def fit(texts: pa.Array, labels: np.ndarray, epochs: int = 60, seed: int = 7,
+        vectors: tuple[np.ndarray, np.ndarray] | None = None) -> QualityModel:
     """Train on four fifths of the sample and set the temperature on the rest. One class or none: scores of 0.5 or that class."""
     y = labels.astype(np.float64)
-    words, shapes = context_vectors(texts)
+    words, shapes = vectors or unit_vectors(context_sums([texts]))
     model = QualityModel(words, shapes, np.zeros(2 * WIDTH + 1), np.ones(2 * WIDTH + 1), [], 1.0)
     x = model.pooled(texts).astype(np.float64)
     rng = np.random.default_rng(seed)
@@ -139,9 +169,9 @@ def fit(texts: pa.Array, labels: np.ndarray, epochs: int = 60, seed: int = 7) ->
 def quality_scores(docs: DataFrame, labels: DataFrame, per_class: int = ROWS_PER_CLASS) -> DataFrame:
     """doc_id, held_out, score, predicted for every document; null and empty texts score as text without words.
 
-    Fitted on a bounded sample (see `labelled_sample`), reading text only. Repeated rows get equal scores;
+    Word vectors come from all documents; the network is fitted on a bounded sample (see `labelled_sample`), reading text only. Repeated rows get equal scores;
     without labels all scores are 0.5.
     """
-    model = fit(*labelled_sample(docs, labels.select("doc_id", F.col("quality").alias("label")), per_class))
+    model = fit(*labelled_sample(docs, labels.select("doc_id", F.col("quality").alias("label")), per_class), vectors=corpus_vectors(docs))
     shared = docs.sparkSession.sparkContext.broadcast(model)
     return verdicts(with_scores(docs, lambda column: shared.value.score(column)), THRESHOLD)
