@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marram.llm import (chat, cleaning, decontaminate, language, mixing, quality, sharding, simhash, suffixes, toxicity)
+from marram.llm import (
+    chat, cleaning, decontaminate, language, mixing, quality, resample, sharding, simhash, suffixes, toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,6 +60,10 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_report(told.union(own))
 
 
+def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.importance_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_simhash": op2_simhash,
@@ -69,10 +75,12 @@ QUERIES: dict[str, Query] = {
     "op8_language": op8_language,
     "op9_toxicity": op9_toxicity,
     "op10_chat": op10_chat,
+    "op13_resample": op13_resample,
 }
 
 ORACLES: dict[str, str] = {
     "op1_mix_sources": mixing.MIX_SQL,
     "op6_quality_rules": cleaning.quality_sql(),
     "op10_chat": chat.CHAT_SQL,
+    "op13_resample": resample.RESAMPLE_SQL,
 }

@@ -17,6 +17,10 @@ GAP_CHARS = " \t\n\x0b\x0c\r"
 
 IS_GAP = np.zeros(256, dtype=bool)
 IS_GAP[[0x20, *range(0x09, 0x0E)]] = True
+# A word of letters and digits: after lower-casing A-Z, a run of anything but the other ASCII characters.
+MARK_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+IS_MARK = np.zeros(256, dtype=bool)
+IS_MARK[[*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
@@ -94,8 +98,8 @@ class Words:
     first: np.ndarray  # index of each document's first word, one more entry at the end
 
 
-def find_words(chunk: Chunk) -> Words:
-    inside = ~IS_GAP[chunk.buf]
+def find_words(chunk: Chunk, gaps: np.ndarray = IS_GAP) -> Words:
+    inside = ~gaps[chunk.buf]
     before = np.empty_like(inside)
     after = np.empty_like(inside)
     if len(inside):
