@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from marram.llm import (
-    chat, cleaning, decontaminate, language, mixing, quality, resample, sharding, simhash, suffixes, toxicity,
+    chat, cleaning, decontaminate, language, licenses, mixing, quality, resample, sharding, simhash, suffixes, toxicity,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +60,10 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_report(told.union(own))
 
 
+def op11_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_report(_table(spark, sf_dir, "documents"))
+
+
 def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample.importance_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -75,6 +79,7 @@ QUERIES: dict[str, Query] = {
     "op8_language": op8_language,
     "op9_toxicity": op9_toxicity,
     "op10_chat": op10_chat,
+    "op11_licenses": op11_licenses,
     "op13_resample": op13_resample,
 }
 
@@ -82,5 +87,6 @@ ORACLES: dict[str, str] = {
     "op1_mix_sources": mixing.MIX_SQL,
     "op6_quality_rules": cleaning.quality_sql(),
     "op10_chat": chat.CHAT_SQL,
+    "op11_licenses": licenses.license_sql(),
     "op13_resample": resample.RESAMPLE_SQL,
 }
