@@ -15,9 +15,11 @@ from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructType
 
 from marram.llm.decontaminate import expand
 from marram.session import ensure_checkpoint_dir, shared_root
@@ -142,94 +144,100 @@ def aligned(texts: list[str | None], left: ByteLevel | Pieces, right: ByteLevel
     return out
 
 
-FIELDS = ("n_a", "n_b", "n_groups", "n_links")
+class Block:
+    """Texts aligned one after the other, and the table of their different pairs."""
+
+    def __init__(self, left: ByteLevel | Pieces, right: ByteLevel | Pieces):
+        self.left, self.right = left, right
+        self.bytes = 0
+        self.keys: list[pa.Array] = []
+        self.fields: list[tuple[int, int, int, int, str]] = []
+        self.codes: list[np.ndarray] = []
+        self.times: list[np.ndarray] = []
+
+    def add(self, keys: pa.Array, texts: pa.Array, size: int) -> None:
+        self.bytes += size
+        self.keys.append(keys)
+        for one in aligned(texts.to_pylist(), self.left, self.right):
+            if one is None:
+                self.fields.append((0, 0, 0, 0, ""))
+                self.codes.append(np.empty(0, dtype=np.int64))
+                self.times.append(np.empty(0, dtype=np.int64))
+                continue
+            a, b = one.links()
+            code, times = np.unique(a << 32 | b, return_counts=True)
+            self.fields.append((len(one.left), len(one.right), len(one.n_left), len(a),
+                                one.digest(self.left.vocabulary, self.right.vocabulary)))
+            self.codes.append(code)
+            self.times.append(times)
+
+    def rows(self, block: int) -> Iterator[pa.RecordBatch]:
+        """The documents, some at a time, then the block's own row."""
+        table, held = np.unique(np.concatenate(self.codes), return_counts=True)
+        keys = pa.concat_arrays(self.keys)
+        ints = pa.list_(pa.int32())
+        for low, high in _runs([1 + 8 * len(c) for c in self.codes], TEXT_BYTES):
+            part, n = self.fields[low:high], high - low
+            ends = pa.array(np.cumsum([0, *map(len, self.codes[low:high])]).astype(np.int32))
+            lists = (np.searchsorted(table, np.concatenate(self.codes[low:high])), np.concatenate(self.times[low:high]))
+            yield pa.RecordBatch.from_arrays([
+                pa.array([block] * n), keys.slice(low, n), *[pa.array([f[k] for f in part], type=pa.int64()) for k in range(4)],
+                pa.array([f[4] for f in part]), *[pa.ListArray.from_arrays(ends, pa.array(v.astype(np.int32))) for v in lists],
+                pa.nulls(n, pa.list_(pa.int64())), pa.nulls(n, ints)], names=BLOCK_COLUMNS)
+        yield pa.RecordBatch.from_arrays([
+            pa.array([block]), pa.nulls(1, keys.type), *[pa.nulls(1, pa.int64())] * 4, pa.nulls(1, pa.string()),
+            *[pa.nulls(1, ints)] * 2, pa.array([table]), pa.array([held.astype(np.int32)])], names=BLOCK_COLUMNS)
+
+
+BLOCK_COLUMNS = ["block", "key", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "numbers", "times", "pairs", "held"]
+
+
+def _runs(sizes: Sequence[int], most: int) -> Iterator[tuple[int, int]]:
+    """Cuts rows into runs of at most `most` together; a larger row is a run of its own."""
+    low, total = 0, 0
+    for k, size in enumerate(sizes):
+        if k > low and total + size > most:
+            yield low, k
+            low, total = k, 0
+        total += size
+    if len(sizes) > low:
+        yield low, len(sizes)
 
 
 def _write_blocks(docs: DataFrame, paths: tuple[str, str], block_bytes: int, folder: str) -> DataFrame:
-    """Texts aligned once, in blocks, written and read again.
+    """Texts of (key, text) aligned once, in blocks, written and read again.
 
-    Rows (block, key struct, n_a … n_links, groups_sha256, pairs, times) per document: `pairs` are numbers in the block's own
-    table of different pairs and `times` how often each is linked. One more row per block, without a key, holds that
-    table: left and right id of each pair (`pairs`, packed) and how many of the block's documents have it (`times`).
+    A document's row holds its counts, the numbers of its pairs in the block's table (`numbers`), and how often each is
+    linked (`times`). A block's row holds that table (`pairs`, left id above right id) and how many of its documents have each.
     """
-    size = len(docs.columns) - 1
-    names = ["block", "key", *FIELDS, "groups_sha256", "pairs", "times"]
-    key = docs.select(F.struct(*docs.columns[:size]).alias("key")).schema[0].dataType
-    key_schema = docs.select(F.struct(*docs.columns[:size]).alias("key"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        left, right = (tokenizer(p) for p in paths)
-        task, number = TaskContext.get().partitionId(), 0
-        rows: list[pa.RecordBatch] = []
-        found: list[Aligned | None] = []
-        weight = 0
-
-        def closed() -> Iterator[pa.RecordBatch]:
-            block = task << 32 | number
-            links = [a.links() if a is not None else None for a in found]
-            own = [np.unique(x[0] << 32 | x[1], return_counts=True) if x is not None else None for x in links]
-            codes = [o[0] for o in own if o is not None]
-            table, in_docs = np.unique(np.concatenate(codes), return_counts=True) if codes else (np.empty(0, np.int64),) * 2
-            keys = pa.chunked_array([r.column(0) for r in rows]).combine_chunks()
-            low = 0
-            while low < len(found):
-                high, total = low, 0
-                while high < len(found) and (high == low or total < TEXT_BYTES):
-                    total += len(own[high][0]) * 12 if own[high] is not None else 1
-                    high += 1
-                part = found[low:high]
-                numbers = [np.searchsorted(table, o[0]) if o is not None else np.empty(0, np.int64) for o in own[low:high]]
-                times = [o[1] if o is not None else np.empty(0, np.int64) for o in own[low:high]]
-                ends = pa.array(np.cumsum([0, *map(len, numbers)]).astype(np.int32))
-                counts = [[len(a.left), len(a.right), len(a.n_left), int((a.n_left * a.n_right).sum())] if a is not None
-                          else [0, 0, 0, 0] for a in part]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([block] * len(part)), keys.slice(low, high - low),
-                    *[pa.array([c[k] for c in counts], type=pa.int64()) for k in range(4)],
-                    pa.array([a.digest(left.vocabulary, right.vocabulary) if a is not None else "" for a in part]),
-                    *[pa.ListArray.from_arrays(ends, pa.array(np.concatenate(v).astype(np.int64))) for v in (numbers, times)],
-                ], names=names)
-                low = high
-            if len(table):
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([block]), pa.nulls(1, keys.type), *[pa.nulls(1, pa.int64())] * 4, pa.nulls(1, pa.string()),
-                    *[pa.array([v], type=pa.list_(pa.int64())) for v in (table, in_docs)]], names=names)
-
+        sides = [tokenizer(p) for p in paths]
+        number = TaskContext.get().partitionId() << 32
+        now = Block(*sides)
         for batch in batches:
-            texts = batch.column(1)
-            sizes = [len(t.as_buffer()) if t.is_valid else 0 for t in texts.cast(pa.large_binary())]
-            low = 0
-            while low < len(sizes):
-                high, total = low, 0
-                while high < len(sizes) and (high == low or total + sizes[high] <= TEXT_BYTES):
-                    total += sizes[high]
-                    high += 1
-                found += aligned(texts.slice(low, high - low).to_pylist(), left, right)
-                rows.append(batch.slice(low, high - low))
-                weight += total
-                low = high
-                if weight >= block_bytes:
-                    yield from closed()
-                    rows, found, weight, number = [], [], 0, number + 1
-        if found:
-            yield from closed()
-
-    schema = key_schema.schema
-    for n in FIELDS:
-        schema = schema.add(n, "long")
-    schema = schema.add("groups_sha256", "string").add("pairs", "array<long>").add("times", "array<long>")
-    del key
-    first = F.struct(*docs.columns[:size]).alias("key")
-    out = docs.select(first, docs.columns[size])
-    from pyspark.sql.types import LongType, StructField, StructType
-    out.mapInArrow(run, StructType([StructField("block", LongType()), *schema])).write.option("compression", "zstd").parquet(folder)
-    return docs.sparkSession.read.parquet(folder)
+            sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()
+            for low, high in _runs(sizes, TEXT_BYTES):
+                now.add(batch.column(0).slice(low, high - low), batch.column(1).slice(low, high - low), sum(sizes[low:high]))
+                if now.bytes >= block_bytes:
+                    yield from now.rows(number)
+                    now, number = Block(*sides), number + 1
+        if now.keys:
+            yield from now.rows(number)
+
+    schema = StructType().add("block", "long").add("key", docs.schema["key"].dataType)
+    for name in BLOCK_COLUMNS[2:6]:
+        schema = schema.add(name, "long")
+    schema = schema.add("groups_sha256", "string").add("numbers", ArrayType(IntegerType())).add("times", ArrayType(IntegerType()))
+    schema = schema.add("pairs", ArrayType(LongType())).add("held", ArrayType(IntegerType()))
+    docs.mapInArrow(run, schema).write.option("compression", "zstd").parquet(folder)
+    return docs.sparkSession.read.schema(schema).parquet(folder)
 
 
 def pair_counts(blocks: DataFrame) -> DataFrame:
     """(pair, n, best): how many documents hold each linked pair, and whether no pair of its left id is in more."""
-    tables = blocks.where("key is null").select(F.explode(F.arrays_zip("pairs", "times")).alias("p"))
-    counts = tables.groupBy(F.col("p.pairs").alias("pair")).agg(F.sum("p.times").alias("n"))
+    tables = blocks.where("key is null").select(F.explode(F.arrays_zip("pairs", "held")).alias("p"))
+    counts = tables.groupBy(F.col("p.pairs").alias("pair")).agg(F.sum("p.held").alias("n"))
     # At most as many rows as the right vocabulary has entries share a left id.
     same = Window.partitionBy(F.shiftright("pair", 32))
     return counts.withColumn("best", F.col("n") == F.max("n").over(same))
@@ -249,27 +257,29 @@ def token_alignment(docs: DataFrame, left: str = f"{TOKENIZERS}/{LEFT_FILE}", ri
     ensure_checkpoint_dir(spark)
     kept = [c for c in docs.columns if c != "text"]
     folder = f"{shared_root(spark)}/align-{uuid.uuid4().hex}"
-    blocks = _write_blocks(docs.select(*kept, "text"), (left, right), block_bytes, folder)
+    blocks = _write_blocks(docs.select(F.struct(*kept).alias("key"), "text"), (left, right), block_bytes, folder)
     counts = pair_counts(blocks)
-    held = blocks.where("key is null").select("block", F.posexplode("pairs").alias("number", "pair"))
-    known = held.join(counts, "pair").select("block", F.col("number").cast("long").alias("number"), "n", "best")
-    documents = blocks.where("key is not null")
-    schema = documents.drop("block", "pairs", "times").schema.add("n_best", "long").add("count_sum", "long")
+    tables = blocks.where("key is null").select(F.col("block").alias("home"), F.posexplode("pairs").alias("number", "pair"))
+    known = tables.join(counts, "pair").select("home", "number", "n", "best")
+    documents = blocks.where("key is not null").drop("pairs", "held")
+    schema = documents.drop("block", "numbers", "times").schema.add("n_best", "long").add("count_sum", "long")
 
     def fill(rows: pa.Table, table: pa.Table) -> pa.Table:
-        n = np.zeros(table.num_rows, dtype=np.int64)
-        best = np.zeros(table.num_rows, dtype=np.int64)
-        place = np.asarray(table.column("number").combine_chunks())
-        n[place], best[place] = (np.asarray(table.column(c).combine_chunks().cast(pa.int64())) for c in ("n", "best"))
-        flat = [np.asarray(rows.column(c).combine_chunks().flatten()) for c in ("pairs", "times")]
-        ends = np.concatenate([[0], np.cumsum(np.asarray(pa.compute.list_value_length(rows.column("pairs").combine_chunks())))])
-        sums = [np.diff(np.concatenate([[0], np.cumsum(w[flat[0]] * flat[1])])[ends]) for w in (best, n)]
-        out = rows.drop_columns(["block", "pairs", "times"])
-        return out.append_column("n_best", pa.array(sums[0])).append_column("count_sum", pa.array(sums[1]))
-
-    filled = documents.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(fill, schema)
-    return filled, counts.select(F.shiftright("pair", 32).alias("left_id"), F.col("pair").bitwiseAND((1 << 32) - 1).alias("right_id"),
-                                 "n", "best")
+        n, best = np.zeros((2, table.num_rows), dtype=np.int64)
+        place, count, highest = (np.asarray(table.column(c).combine_chunks().cast(pa.int64())) for c in ("number", "n", "best"))
+        n[place], best[place] = count, highest
+        lists = [rows.column(c).combine_chunks() for c in ("numbers", "times")]
+        number, times = (np.asarray(v.flatten()).astype(np.int64) for v in lists)
+        ends = np.cumsum([0, *pc.list_value_length(lists[0]).to_pylist()])
+        out = rows.drop_columns(["block", "numbers", "times"])
+        for name, value in (("n_best", best), ("count_sum", n)):
+            running = np.concatenate([[0], np.cumsum(value[number] * times)])
+            out = out.append_column(name, pa.array(np.diff(running[ends])))
+        return out
+
+    filled = documents.groupBy("block").cogroup(known.groupBy("home")).applyInArrow(fill, schema)
+    return filled, counts.select(F.shiftright("pair", 32).alias("left_id"),
+                                 F.col("pair").bitwiseAND((1 << 32) - 1).alias("right_id"), "n", "best")
 
 
 def alignment_report(docs: DataFrame, **settings: object) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from marram.llm import (
-    chat, cleaning, decontaminate, language, licenses, mixing, quality, resample, sharding, simhash, suffixes, toxicity,
+    align, chat, cleaning, decontaminate, language, licenses, mixing, quality, resample, sharding, simhash, suffixes, toxicity,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +64,10 @@ def op11_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_report(_table(spark, sf_dir, "documents"))
 
 
+def op12_align_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.alignment_report(_table(spark, sf_dir, "documents"))
+
+
 def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample.importance_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -80,6 +84,7 @@ QUERIES: dict[str, Query] = {
     "op9_toxicity": op9_toxicity,
     "op10_chat": op10_chat,
     "op11_licenses": op11_licenses,
+    "op12_align_tokens": op12_align_tokens,
     "op13_resample": op13_resample,
 }
 
