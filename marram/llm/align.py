@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 import uuid
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
@@ -30,6 +31,9 @@ LEFT_FILE, RIGHT_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 BLOCK_BYTES = 8 << 20
 # Texts handed to a tokenizer at once.
 TEXT_BYTES = 1 << 20
+# Different segments that a task remembers from one block to the next.
+SEGMENTS = 400_000
+CUT = re.compile(r"(?<=[!-~\w])(?= )")
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -39,20 +43,6 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
-class Vocabulary:
-    """Bytes, lengths and decimal names of the entries of one tokenizer."""
-
-    def __init__(self, entries: Sequence[bytes], after: tuple[str, str]):
-        self.entries = list(entries)
-        self.lengths = [len(e) for e in self.entries]
-        # Names with the sign that follows a token inside its side of a group, and at that side's end.
-        self.inside, self.last = (np.array([f"{k}{sign}" for k in range(len(self.entries))], dtype=object) for sign in (",", after[0]))
-
-    def spans(self, ids: list[int], raw: bytes) -> bool:
-        """Whether the tokens' bytes, joined, are these."""
-        return b"".join(map(self.entries.__getitem__, ids)) == raw
-
-
 class ByteLevel:
     """A byte-level vocabulary read from a tokenizer file; control strings within a text are plain text."""
 
@@ -64,11 +54,11 @@ class ByteLevel:
         self.tokenizer.encode_special_tokens = True
         alphabet = byte_alphabet()
         names = [self.tokenizer.id_to_token(k) for k in range(self.tokenizer.get_vocab_size())]
-        self.vocabulary = Vocabulary([bytes(alphabet[c] for c in n) if all(c in alphabet for c in n) else n.encode()
-                                      for n in names], ("|",))
+        self.entries = [bytes(alphabet[c] for c in n) if all(c in alphabet for c in n) else n.encode() for n in names]
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch([" " + t for t in texts], add_special_tokens=False)]
+        """Ids of texts that begin with a space."""
+        return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
 class Pieces:
@@ -79,12 +69,14 @@ class Pieces:
 
         self.model = SentencePieceProcessor(model_file=path)
         size = self.model.get_piece_size()
-        self.vocabulary = Vocabulary(
-            [bytes([int(p[1:-1], 16)]) if self.model.is_byte(k) else p.replace("▁", " ").encode()
-             for k, p in ((k, self.model.id_to_piece(k)) for k in range(size))], (";",))
+        self.entries = [bytes([int(p[1:-1], 16)]) if self.model.is_byte(k) else p.replace("▁", " ").encode()
+                        for k, p in ((k, self.model.id_to_piece(k)) for k in range(size))]
+        self.space = [self.model.piece_to_id("▁")]
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        return self.model.encode(texts, num_threads=1)
+        """Ids of texts that begin with a space, which the model adds by itself but for an empty rest."""
+        ids = self.model.encode([t[1:] for t in texts], num_threads=1)
+        return [i if len(t) > 1 else self.space for t, i in zip(texts, ids)]
 
 
 @lru_cache(maxsize=4)
@@ -103,90 +95,98 @@ def common_cuts(left: list[int], right: list[int]) -> tuple[list[int], list[int]
     return list(map(of_left.__getitem__, keys)), list(map(of_right.__getitem__, keys))
 
 
-class Aligned:
-    """One text's tokens of both sides and its groups."""
-
-    def __init__(self, left: list[int], right: list[int], one: Vocabulary, two: Vocabulary):
-        self.left, self.right = np.array(left, dtype=np.int64), np.array(right, dtype=np.int64)
-        cuts = common_cuts(list(map(one.lengths.__getitem__, left)), list(map(two.lengths.__getitem__, right)))
-        self.left_ends, self.right_ends = (np.array(c, dtype=np.int64) for c in cuts)
-        self.n_left, self.n_right = (np.diff(c, prepend=0) for c in (self.left_ends, self.right_ends))
-
-    def links(self) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all linked token pairs: each left token of a group with each right token, group by group."""
-        starts = self.right_ends - self.n_right
-        group = np.repeat(np.arange(len(self.n_left)), self.n_left)
-        return (np.repeat(self.left, self.n_right[group]),
-                self.right[expand(starts[group], self.right_ends[group])])
-
-    def digest(self, one: Vocabulary, two: Vocabulary) -> str:
-        """sha256 of `a1,a2|b1;a3|b2,b3`."""
-        out = np.empty(len(self.left) + len(self.right), dtype=object)
-        names, others = one.inside[self.left], two.inside[self.right]
-        names[self.left_ends - 1] = one.last[self.left[self.left_ends - 1]]
-        others[self.right_ends - 1] = two.last[self.right[self.right_ends - 1]]
-        before_left = np.repeat(self.right_ends - self.n_right, self.n_left)
-        before_right = np.repeat(self.left_ends, self.n_right)
-        out[np.arange(len(names)) + before_left] = names
-        out[np.arange(len(others)) + before_right] = others
-        return hashlib.sha256("".join(out.tolist())[:-1].encode()).hexdigest()
-
-
-def aligned(texts: list[str | None], left: ByteLevel | Pieces, right: ByteLevel | Pieces) -> list[Aligned | None]:
-    """The alignment of each text, None where there is no text or a side's bytes are not those of space and text."""
-    some = [k for k, t in enumerate(texts) if t]
-    given = [texts[k] for k in some]
-    out: list[Aligned | None] = [None] * len(texts)
-    for k, a, b in zip(some, left.encode(given), right.encode(given)):
-        raw = b" " + texts[k].encode()
-        if left.vocabulary.spans(a, raw) and right.vocabulary.spans(b, raw):
-            out[k] = Aligned(a, b, left.vocabulary, right.vocabulary)
-    return out
+def segments(text: str) -> list[str]:
+    """Space and text, cut before spaces that follow a letter, a digit or a printable ASCII character.
 
+    Neither tokenizer has a token or a split rule that reaches across such a place, so the tokens of the whole are those of the
+    parts, one after the other, and both sides end there.
+    """
+    return CUT.split(" " + text)
 
-class Block:
-    """Texts aligned one after the other, and the table of their different pairs."""
+
+class Lexicon:
+    """The alignment of every different segment met: encoded once, grouped once."""
 
     def __init__(self, left: ByteLevel | Pieces, right: ByteLevel | Pieces):
         self.left, self.right = left, right
+        self.place: dict[str, int] = {}
+        self.chars = 0
+        self.names: list[str | None] = []  # None: a side's bytes are not the segment's
+        self.counts: list[tuple[int, int, int, int]] = []
+        self.codes: list[int] = []  # left id above right id, of all links of all segments
+        self.ends: list[int] = [0]
+
+    def learn(self, new: Sequence[str]) -> None:
+        for text, a, b in zip(new, self.left.encode(new), self.right.encode(new)):
+            self.place[text] = len(self.names)
+            self.chars += len(text)
+            raw = text.encode()
+            one, two = list(map(self.left.entries.__getitem__, a)), list(map(self.right.entries.__getitem__, b))
+            if b"".join(one) != raw or b"".join(two) != raw:
+                self.names.append(None)
+                self.counts.append((0, 0, 0, 0))
+                self.ends.append(len(self.codes))
+                continue
+            cuts = common_cuts(list(map(len, one)), list(map(len, two)))
+            groups, x, y = [], 0, 0
+            for p, q in zip(*cuts):
+                groups.append((a[x:p], b[y:q]))
+                x, y = p, q
+            self.codes += [i << 32 | j for of_left, of_right in groups for i in of_left for j in of_right]
+            self.names.append(";".join(f"{','.join(map(str, g))}|{','.join(map(str, h))}" for g, h in groups))
+            self.counts.append((len(a), len(b), len(groups), len(self.codes) - self.ends[-1]))
+            self.ends.append(len(self.codes))
+
+
+class Block:
+    """Texts aligned one after the other, and the table of their different pairs."""
+
+    def __init__(self, lexicon: Lexicon):
+        self.lexicon = lexicon
         self.bytes = 0
         self.keys: list[pa.Array] = []
-        self.fields: list[tuple[int, int, int, int, str]] = []
-        self.codes: list[np.ndarray] = []
-        self.times: list[np.ndarray] = []
+        self.parts: list[np.ndarray] = []  # each document's segments, by their numbers in the lexicon
+        self.digests: list[str] = []
 
-    def add(self, keys: pa.Array, texts: pa.Array, size: int) -> None:
+    def add(self, keys: pa.Array, texts: list[str | None], size: int) -> None:
         self.bytes += size
         self.keys.append(keys)
-        for one in aligned(texts.to_pylist(), self.left, self.right):
-            if one is None:
-                self.fields.append((0, 0, 0, 0, ""))
-                self.codes.append(np.empty(0, dtype=np.int64))
-                self.times.append(np.empty(0, dtype=np.int64))
-                continue
-            a, b = one.links()
-            code, times = np.unique(a << 32 | b, return_counts=True)
-            self.fields.append((len(one.left), len(one.right), len(one.n_left), len(a),
-                                one.digest(self.left.vocabulary, self.right.vocabulary)))
-            self.codes.append(code)
-            self.times.append(times)
+        cut = [segments(t) if t else [] for t in texts]
+        known = self.lexicon.place
+        self.lexicon.learn(list(dict.fromkeys(p for c in cut for p in c if p not in known)))
+        for c in cut:
+            numbers = list(map(known.__getitem__, c))
+            names = list(map(self.lexicon.names.__getitem__, numbers))
+            whole = bool(names) and None not in names
+            self.parts.append(np.array(numbers if whole else [], dtype=np.int64))
+            self.digests.append(hashlib.sha256(";".join(names).encode()).hexdigest() if whole else "")
 
     def rows(self, block: int) -> Iterator[pa.RecordBatch]:
         """The documents, some at a time, then the block's own row."""
-        table, held = np.unique(np.concatenate(self.codes), return_counts=True)
-        keys = pa.concat_arrays(self.keys)
-        ints = pa.list_(pa.int32())
-        for low, high in _runs([1 + 8 * len(c) for c in self.codes], TEXT_BYTES):
-            part, n = self.fields[low:high], high - low
-            ends = pa.array(np.cumsum([0, *map(len, self.codes[low:high])]).astype(np.int32))
-            lists = (np.searchsorted(table, np.concatenate(self.codes[low:high])), np.concatenate(self.times[low:high]))
+        counts, ends = np.array(self.lexicon.counts, dtype=np.int64).reshape(-1, 4), np.array(self.lexicon.ends)
+        table, number = np.unique(np.array(self.lexicon.codes, dtype=np.int64), return_inverse=True)
+        pairs, times = [], []
+        for part in self.parts:
+            segment, n = np.unique(part, return_counts=True)
+            low, high = ends[segment], ends[segment + 1]
+            own, which = np.unique(number[expand(low, high)], return_inverse=True)
+            pairs.append(own)
+            times.append(np.bincount(which, np.repeat(n, high - low), minlength=len(own)).astype(np.int32))
+        held = np.bincount(np.concatenate(pairs), minlength=len(table)) if pairs else np.zeros(len(table), dtype=np.int64)
+        kept = np.cumsum(held > 0) - 1  # pairs of segments that only other blocks have are left out
+        keys, ints = pa.concat_arrays(self.keys), pa.list_(pa.int32())
+        for low, high in _runs([1 + 8 * len(p) for p in pairs], TEXT_BYTES):
+            n = high - low
+            sums = np.array([counts[p].sum(axis=0) for p in self.parts[low:high]])
+            offsets = pa.array(np.cumsum([0, *map(len, pairs[low:high])]).astype(np.int32))
+            lists = (kept[np.concatenate(pairs[low:high])], np.concatenate(times[low:high]))
             yield pa.RecordBatch.from_arrays([
-                pa.array([block] * n), keys.slice(low, n), *[pa.array([f[k] for f in part], type=pa.int64()) for k in range(4)],
-                pa.array([f[4] for f in part]), *[pa.ListArray.from_arrays(ends, pa.array(v.astype(np.int32))) for v in lists],
+                pa.array([block] * n), keys.slice(low, n), *[pa.array(sums[:, k]) for k in range(4)],
+                pa.array(self.digests[low:high]), *[pa.ListArray.from_arrays(offsets, pa.array(v.astype(np.int32))) for v in lists],
                 pa.nulls(n, pa.list_(pa.int64())), pa.nulls(n, ints)], names=BLOCK_COLUMNS)
         yield pa.RecordBatch.from_arrays([
             pa.array([block]), pa.nulls(1, keys.type), *[pa.nulls(1, pa.int64())] * 4, pa.nulls(1, pa.string()),
-            *[pa.nulls(1, ints)] * 2, pa.array([table]), pa.array([held.astype(np.int32)])], names=BLOCK_COLUMNS)
+            *[pa.nulls(1, ints)] * 2, pa.array([table[held > 0]]), pa.array([held[held > 0].astype(np.int32)])], names=BLOCK_COLUMNS)
 
 
 BLOCK_COLUMNS = ["block", "key", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "numbers", "times", "pairs", "held"]
@@ -214,14 +214,18 @@ def _write_blocks(docs: DataFrame, paths: tuple[str, str], block_bytes: int, fol
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sides = [tokenizer(p) for p in paths]
         number = TaskContext.get().partitionId() << 32
-        now = Block(*sides)
+        lexicon = Lexicon(*sides)
+        now = Block(lexicon)
         for batch in batches:
             sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()
             for low, high in _runs(sizes, TEXT_BYTES):
-                now.add(batch.column(0).slice(low, high - low), batch.column(1).slice(low, high - low), sum(sizes[low:high]))
+                now.add(batch.column(0).slice(low, high - low), batch.column(1).slice(low, high - low).to_pylist(),
+                        sum(sizes[low:high]))
                 if now.bytes >= block_bytes:
                     yield from now.rows(number)
-                    now, number = Block(*sides), number + 1
+                    if len(lexicon.names) > SEGMENTS or lexicon.chars > block_bytes:
+                        lexicon = Lexicon(*sides)
+                    now, number = Block(lexicon), number + 1
         if now.keys:
             yield from now.rows(number)
 
@@ -248,7 +252,7 @@ def token_alignment(docs: DataFrame, left: str = f"{TOKENIZERS}/{LEFT_FILE}", ri
     """(documents, pairs). Documents: the columns without `text` in a struct `key`, n_a, n_b, n_groups, n_links, n_best,
     count_sum, groups_sha256. Pairs: (left_id, right_id, n, best), the corpus-wide lexicon of linked ids.
 
-    Texts are encoded whole and once. Pair counts are summed over blocks of texts, each with a table of its different pairs,
+    Texts are encoded whole, each different segment once a task. Pair counts are summed over blocks of texts, each with a table of its different pairs,
     so what is shuffled grows with those and not with the tokens; counts come back to the block, and a document's sums
     are taken from its numbers in that table. Null and empty texts, and those whose bytes a tokenizer changes, have zeros.
     Repeated rows are documents of their own. An empty table gives empty results.
