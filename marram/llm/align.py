@@ -34,6 +34,10 @@ TEXT_BYTES = 1 << 20
 # Different segments that a task remembers from one block to the next.
 SEGMENTS = 400_000
 CUT = re.compile(r"(?<=[!-~\w])(?= )")
+SAFE_END = re.compile(r"[!-~\w]\Z")
+JOINED = 256
+# Ids of a tokenizer, at most.
+MOST_ENTRIES = 1 << 17
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -85,12 +89,12 @@ def tokenizer(path: str) -> ByteLevel | Pieces:
 
 
 def common_cuts(left: list[int], right: list[int]) -> tuple[list[int], list[int]]:
-    """How many tokens of either side lie before each byte offset where tokens of both sides end.
+    """How many tokens of either side lie before each byte offset where tokens of both sides end; given are their ends.
 
     A token without bytes ends where the one before it does; the dictionary keeps the last, so it stays in that group.
     """
-    of_left = {end: k for k, end in enumerate(accumulate(left), 1)}
-    of_right = {end: k for k, end in enumerate(accumulate(right), 1)}
+    of_left = dict(zip(left, range(1, len(left) + 1)))
+    of_right = dict(zip(right, range(1, len(right) + 1)))
     keys = sorted(of_left.keys() & of_right.keys())
     return list(map(of_left.__getitem__, keys)), list(map(of_right.__getitem__, keys))
 
@@ -108,34 +112,75 @@ class Lexicon:
     """The alignment of every different segment met: encoded once, grouped once."""
 
     def __init__(self, left: ByteLevel | Pieces, right: ByteLevel | Pieces):
-        self.left, self.right = left, right
+        self.sides = (left, right)
         self.place: dict[str, int] = {}
         self.chars = 0
         self.names: list[str | None] = []  # None: a side's bytes are not the segment's
-        self.counts: list[tuple[int, int, int, int]] = []
-        self.codes: list[int] = []  # left id above right id, of all links of all segments
-        self.ends: list[int] = [0]
+        self.counts: list[np.ndarray] = []  # rows of n_a, n_b, n_groups, n_links
+        self.codes: list[np.ndarray] = []  # left id above right id, of all links of all segments
 
     def learn(self, new: Sequence[str]) -> None:
-        for text, a, b in zip(new, self.left.encode(new), self.right.encode(new)):
-            self.place[text] = len(self.names)
-            self.chars += len(text)
-            raw = text.encode()
-            one, two = list(map(self.left.entries.__getitem__, a)), list(map(self.right.entries.__getitem__, b))
-            if b"".join(one) != raw or b"".join(two) != raw:
-                self.names.append(None)
-                self.counts.append((0, 0, 0, 0))
-                self.ends.append(len(self.codes))
-                continue
-            cuts = common_cuts(list(map(len, one)), list(map(len, two)))
-            groups, x, y = [], 0, 0
-            for p, q in zip(*cuts):
-                groups.append((a[x:p], b[y:q]))
-                x, y = p, q
-            self.codes += [i << 32 | j for of_left, of_right in groups for i in of_left for j in of_right]
-            self.names.append(";".join(f"{','.join(map(str, g))}|{','.join(map(str, h))}" for g, h in groups))
-            self.counts.append((len(a), len(b), len(groups), len(self.codes) - self.ends[-1]))
-            self.ends.append(len(self.codes))
+        """Encode and group segments. Those that end where a cut is safe are encoded in a few strings, the rest each by itself."""
+        joined = [k for k, t in enumerate(new) if SAFE_END.search(t)]
+        alone = sorted(set(range(len(new))).difference(joined))
+        parts = [new[k] for k in joined]
+        strings = ["".join(parts[k:k + JOINED]) for k in range(0, len(parts), JOINED)]
+        if joined and not self._add(parts, strings):
+            alone = range(len(new))
+        for k in alone:
+            if not self._add([new[k]], [new[k]]):
+                self._put([new[k]], [None], np.zeros((1, 4), dtype=np.int64), np.empty(0, dtype=np.int64))
+
+    def _put(self, parts: Sequence[str], names: Sequence[str | None], counts: np.ndarray, codes: np.ndarray) -> None:
+        self.place.update(zip(parts, range(len(self.names), len(self.names) + len(parts))))
+        self.chars += sum(map(len, parts))
+        self.names += names
+        self.counts.append(counts)
+        self.codes.append(codes)
+
+    def _add(self, parts: Sequence[str], texts: Sequence[str]) -> bool:
+        """Group the tokens of the texts, which are the parts joined; False if a side's bytes are others."""
+        raw = "".join(texts).encode()
+        ids, ends = [], []
+        for side in self.sides:
+            own = [i for found in side.encode(texts) for i in found]
+            tokens = list(map(side.entries.__getitem__, own))
+            if b"".join(tokens) != raw:
+                return False
+            ids.append(np.array(own, dtype=np.int64))
+            ends.append(list(accumulate(map(len, tokens))))
+        cuts = [np.array(c) for c in common_cuts(*ends)]
+        n_left, n_right = (np.diff(c, prepend=0) for c in cuts)
+        # Every part ends at a cut.
+        part_ends = np.cumsum([len(p.encode()) for p in parts])
+        last = np.searchsorted(np.array(ends[0])[cuts[0] - 1], part_ends) + 1
+        group = np.repeat(np.arange(len(n_left)), n_left)
+        codes = np.repeat(ids[0], n_right[group]) << 32 | ids[1][expand((cuts[1] - n_right)[group], cuts[1][group])]
+        upto = [np.concatenate([[0], c]) for c in (*cuts, np.arange(1, len(n_left) + 1), np.cumsum(n_left * n_right))]
+        counts = np.stack([np.diff(u[last], prepend=0) for u in upto], axis=1)
+        self._put(parts, self._told(ids, cuts, n_left, n_right, last), counts, codes)
+        return True
+
+    def _told(self, ids: list[np.ndarray], cuts: list[np.ndarray], n_left: np.ndarray, n_right: np.ndarray,
+              last: np.ndarray) -> list[str]:
+        """`a1,a2|b1;a3|b2,b3` of each part, cut from the one of all parts."""
+        out = np.empty(len(ids[0]) + len(ids[1]), dtype=object)
+        places = (np.arange(len(ids[0])) + np.repeat(cuts[1] - n_right, n_left),
+                  np.arange(len(ids[1])) + np.repeat(cuts[0], n_right))
+        for own, place, cut, sign in zip(ids, places, cuts, "|;"):
+            told = decimals(sign)[0][own]
+            told[cut - 1] = decimals(sign)[1][own[cut - 1]]
+            out[place] = told
+        pieces = out.tolist()
+        upto = np.concatenate([[0], np.cumsum(list(map(len, pieces)))])[(cuts[0] + cuts[1])[last - 1]].tolist()
+        whole = "".join(pieces)
+        return [whole[a:b - 1] for a, b in zip([0, *upto[:-1]], upto)]
+
+
+@lru_cache(maxsize=2)
+def decimals(sign: str) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers in decimal, followed by a comma, and by the sign that ends a side of a group."""
+    return tuple(np.array([f"{k}{after}" for k in range(MOST_ENTRIES)], dtype=object) for after in (",", sign))
 
 
 class Block:
@@ -163,8 +208,9 @@ class Block:
 
     def rows(self, block: int) -> Iterator[pa.RecordBatch]:
         """The documents, some at a time, then the block's own row."""
-        counts, ends = np.array(self.lexicon.counts, dtype=np.int64).reshape(-1, 4), np.array(self.lexicon.ends)
-        table, number = np.unique(np.array(self.lexicon.codes, dtype=np.int64), return_inverse=True)
+        counts = np.concatenate([np.empty((0, 4), dtype=np.int64), *self.lexicon.counts])
+        ends = np.concatenate([[0], np.cumsum(counts[:, 3])])
+        table, number = np.unique(np.concatenate([np.empty(0, dtype=np.int64), *self.lexicon.codes]), return_inverse=True)
         pairs, times = [], []
         for part in self.parts:
             segment, n = np.unique(part, return_counts=True)
