@@ -85,7 +85,7 @@ def learning_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("oob_curve")
 def oob_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = training_table(vectors(spark, sf_dir), "vec_id", "code", CLASSES).persist()
-    curve = curves.oob_curve(table, "vec_id", {"n_estimators": 20, "max_depth": 4}, classes=CLASSES)
+    curve = curves.oob_curve(table, "vec_id", {"n_estimators": 20, "max_depth": 4})
     table.unpersist()
     return curve
 

@@ -19,9 +19,8 @@ def prefix_digits(buckets: int) -> int:
 
 
 def unit_interval(seed: int, *keys: Column) -> Column:
-    """A repeatable uniform number in [0, 1) from 52 bits of a 64-bit hash."""
-    bits = F.shiftrightunsigned(F.xxhash64(F.lit(seed), *keys), 12)
-    return bits.cast("double") / F.lit(float(2**52))
+    """A repeatable uniform number in [0, 1): the first 32 bits of the seeded digest."""
+    return F.conv(F.substring(seeded_md5(seed, *keys), 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
 
 
 def poisson_one(u: Column) -> Column:

@@ -5,14 +5,16 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Pipeline
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marram.functions.features import quoted
 from marram.functions.hashing import poisson_one, unit_interval
-from marram.operators.forest import accuracies, add_predictions, build_forest, forest_settings, in_parallel
+from marram.operators.forest import (
+    accuracies, add_predictions, build_forest, fit_forest, forest_settings, in_parallel, least_split,
+)
 from marram.operators.splits import DEFAULT_SEED
+from marram.operators.trees import NodeArrays, node_table, saved, votes_out_of_bag, with_folder
 
 
 def learning_curve_scores(
@@ -30,19 +32,19 @@ def learning_curve_scores(
     `preprocess` is for stages that learn from the rows: it is fitted on each sample anew, so held-out
     rows never shape it. Leave it out when `features` is ready; then one pass judges all samples.
     """
-    spark, settings = prepared.sparkSession, forest_settings(params)
+    spark = prepared.sparkSession
     rows = []
     for fold in range(folds):
         first_step = F.col("prefix_steps")[fold]
         samples = [prepared.where(first_step <= step) for step in range(1, steps + 1)]
         held = prepared.where(F.col("fold") == fold)
         if preprocess is None:
-            models = in_parallel(spark, [lambda s=s: build_forest(seed, **settings).fit(s) for s in samples], parallelism)
+            models = in_parallel(spark, [lambda s=s: fit_forest(s, params, seed) for s in samples], parallelism)
             valid = accuracies(held, models)
             train = _nested_accuracies(prepared.where(first_step.isNotNull()), first_step, models)
         else:
             judged = in_parallel(
-                spark, [lambda s=s: _judge_sample(s, held, preprocess, seed, settings) for s in samples], parallelism)
+                spark, [lambda s=s: _judge_sample(s, held, preprocess, seed, params) for s in samples], parallelism)
             train, valid = [j[:2] for j in judged], [j[2] for j in judged]
         rows += [(fold, i + 1, *train[i], valid[i]) for i in range(steps)]
     return prepared.sparkSession.createDataFrame(
@@ -51,11 +53,11 @@ def learning_curve_scores(
 
 
 def _judge_sample(sample: DataFrame, held: DataFrame, preprocess: Pipeline, seed: int,
-                  settings: Mapping[str, object]) -> tuple[int, float, float]:
+                  params: Mapping[str, object]) -> tuple[int, float, float]:
     """Rows, accuracy on the sample and accuracy on the held-out rows of one sample's own pipeline and forest."""
     stages = preprocess.fit(sample)
     own = stages.transform(sample)
-    model = build_forest(seed, **settings).fit(own)
+    model = fit_forest(own, params, seed)
     return sample.count(), accuracies(own, [model])[0], accuracies(stages.transform(held), [model])[0]
 
 
@@ -80,15 +82,16 @@ def learning_curve(scores: DataFrame) -> DataFrame:
 
 
 def ensemble_sizes(trees: int) -> list[int]:
-    """Sizes at which the error is read: every max(5, trees // 10), and the full forest."""
+    """Sizes at which the error is read (fixed rule): every max(5, trees // 10), and the full forest."""
     step = max(5, trees // 10)
     sizes = list(range(step, trees + 1, step))
     return sizes if sizes and sizes[-1] == trees else [*sizes, trees]
 
 
-def bag_weight(tree: int, key: str, seed: int = DEFAULT_SEED):
+def bag_weight(tree: int | Column, key: str, seed: int = DEFAULT_SEED) -> Column:
     """How often tree number `tree` draws a row: a Poisson(1) count that depends on the key alone."""
-    return poisson_one(unit_interval(seed, F.lit(tree), quoted(key)))
+    number = F.lit(tree) if isinstance(tree, int) else tree
+    return poisson_one(unit_interval(seed, number, quoted(key)))
 
 
 def oob_curve(
@@ -96,48 +99,31 @@ def oob_curve(
     key: str,
     params: Mapping[str, object],
     *,
-    classes: int,
     seed: int = DEFAULT_SEED,
     parallelism: int = 8,
     sizes: Sequence[int] | None = None,
 ) -> DataFrame:
     """(n_trees, n_scored, n_unscored, oob_error) from (key, label, features).
 
-    One tree per bag, weighted by a column expression. All trees then vote in one pass over the
-    rows, each only on rows outside its bag; the vote list grows along the trees, so every ensemble
-    size is read from the same forest. Nothing is multiplied by the number of trees but the votes
-    in a row's own array. Rows without a vote are left out and counted.
+    One tree per bag, weighted by a column expression. Its nodes are read back, and one pass over the rows follows each tree
+    for the rows outside its bag only, adding its votes along the trees, so every ensemble size is read from the
+    same forest. Rows without a vote are left out and counted.
     """
-    settings = {**forest_settings(params)}
+    spark, settings = prepared.sparkSession, forest_settings(params)
     trees = settings.pop("numTrees")
     sizes = list(sizes or ensemble_sizes(trees))
 
-    def fit(tree: int):
+    def grown(tree: int, folder: str) -> str:
         bag = prepared.withColumn("__w", bag_weight(tree, key, seed).cast("double")).where(F.col("__w") > 0)
-        grower = build_forest(seed + tree, numTrees=1, bootstrap=False, weightCol="__w", **settings)
-        return grower.fit(bag)
-
-    models = in_parallel(prepared.sparkSession, [lambda t=t: fit(t) for t in range(trees)], parallelism)
-    scored = prepared
-    for i, model in enumerate(models):
-        model.setProbabilityCol(f"__q{i}").setPredictionCol("").setRawPredictionCol("")
-        scored = model.transform(scored)
-    votes = scored.select("label", F.array(*[
-        F.when(bag_weight(i, key, seed) == 0, vector_to_array(F.col(f"__q{i}"))) for i in range(trees)
-    ]).alias("votes"))
-
-    zero = F.array_repeat(F.lit(0.0), classes)
-    aggs = []
-    for n in sizes:
-        cast_votes = F.filter(F.slice("votes", 1, n), lambda v: v.isNotNull())
-        total = F.aggregate(cast_votes, zero, lambda acc, v: F.zip_with(acc, v, lambda a, b: a + b))
-        winner = (F.array_position(total, F.array_max(total)) - 1).cast("double")
-        any_vote = F.size(cast_votes) > 0
-        aggs.append(F.count_if(any_vote).alias(f"n{n}"))
-        aggs.append(F.count_if(any_vote & (winner == F.col("label"))).alias(f"c{n}"))
-    row = votes.agg(F.count(F.lit(1)).alias("all"), *aggs).first()
-    return prepared.sparkSession.createDataFrame(
-        [(n, row[f"n{n}"], row["all"] - row[f"n{n}"],
-          1.0 - row[f"c{n}"] / row[f"n{n}"] if row[f"n{n}"] else None) for n in sizes],
+        return saved(build_forest(seed + tree, numTrees=1, bootstrap=False, weightCol="__w", **settings).fit(bag), folder)
+
+    def judged(folder: str) -> list[tuple[int, int]]:
+        paths = in_parallel(spark, [lambda t=t: grown(t, folder) for t in range(trees)], parallelism)
+        outside = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: bag_weight(t, key, seed) == 0)
+        return votes_out_of_bag(prepared, NodeArrays(node_table(spark, *paths)), outside, sizes, least_split(params))
+
+    found, n_rows = with_folder(spark, judged), prepared.count()
+    return spark.createDataFrame(
+        [(n, scored, n_rows - scored, 1.0 - hits / scored if scored else None) for n, (scored, hits) in zip(sizes, found)],
         "n_trees int, n_scored long, n_unscored long, oob_error double",
     )

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from marram.functions.features import quoted
 from marram.operators.splits import DEFAULT_SEED
+from marram.operators.trees import split_limited, with_folder
 from marram.session import ensure_checkpoint_dir
 
 DEFAULT_TREES = 100  # fixed value: trees of an untuned forest
@@ -34,23 +35,25 @@ def param_grid(grid: Mapping[str, Iterable]) -> list[dict]:
     return [dict(zip(names, values)) for values in product(*[list(grid[n]) for n in names])]
 
 
-def forest_settings(params: Mapping[str, object]) -> dict[str, int]:
-    """Search parameters in Spark's terms.
+def _param(params: Mapping[str, object], name: str, default: object) -> object:
+    return params.get(f"model__{name}", params.get(name, default))
 
-    There is no minimum node size here, only a minimum child size. A node must hold `split` rows
-    to be cut, so each child is asked to hold half of that, rounded up, or the leaf minimum if
-    larger: no smaller node is ever cut, though some legal uneven cuts are refused. Settings that
-    become equal this way are fitted once.
-    """
-    get = lambda name, default: params.get(f"model__{name}", params.get(name, default))
-    depth = get("max_depth", None)
+
+def forest_settings(params: Mapping[str, object]) -> dict[str, int]:
+    """Search parameters in Spark's terms, but for the least size of a node that is cut (`least_split`)."""
+    depth = _param(params, "max_depth", None)
     return {
-        "numTrees": int(get("n_estimators", DEFAULT_TREES)),
+        "numTrees": int(_param(params, "n_estimators", DEFAULT_TREES)),
         "maxDepth": DEEPEST if depth is None else min(int(depth), DEEPEST),
-        "minInstancesPerNode": max(int(get("min_samples_leaf", 1)), -(-int(get("min_samples_split", 2)) // 2)),
+        "minInstancesPerNode": int(_param(params, "min_samples_leaf", 1)),
     }
 
 
+def least_split(params: Mapping[str, object]) -> int:
+    """Rows a node must hold to be cut. The library has no such setting; it is applied to the grown trees."""
+    return int(_param(params, "min_samples_split", 2))
+
+
 class ForestModel(RandomForestClassificationModel):
     """The library's model; `trees` is read on request only.
 
@@ -108,6 +111,16 @@ def in_parallel(spark: SparkSession, calls: Iterable[Callable[[], object]], work
         return [f.result() for f in futures]
 
 
+def fit_forest(train: DataFrame, params: Mapping[str, object], seed: int = DEFAULT_SEED) -> ForestModel:
+    """A forest under search parameters. Nodes below the least split are made leaves after the fit."""
+    settings, split = forest_settings(params), least_split(params)
+    model = build_forest(seed, **settings).fit(train)
+    if split <= 2 * settings["minInstancesPerNode"]:
+        return model  # a node that small has no two children that are large enough
+    spark = train.sparkSession
+    return with_folder(spark, lambda folder: split_limited(spark, model, split, folder))
+
+
 def add_predictions(df: DataFrame, models: list, prefix: str = "__p") -> DataFrame:
     """Predictions of many models side by side in one pass over the rows."""
     for i, model in enumerate(models):

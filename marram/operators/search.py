@@ -13,19 +13,21 @@ from pyspark.sql import functions as F
 
 from marram.functions.text import strip_prefix
 from marram.operators.forest import (
-    DEFAULT_GRID, accuracies, build_forest, forest_settings, in_parallel, param_grid,
+    DEFAULT_GRID, build_forest, fit_forest, forest_settings, in_parallel, least_split, param_grid,
 )
 from marram.operators.splits import DEFAULT_SEED
+from marram.operators.trees import NodeArrays, Rule, hits_by_rule, node_table, saved, with_folder
 
 
 @dataclass
 class SearchResult:
-    scores: DataFrame  # (candidate_id, fold, score): a small table
+    scores: DataFrame  # (candidate_id, fold, n_rows, score): a small table
     candidates: DataFrame  # (candidate_id, parameter, value)
     results: DataFrame  # one row per candidate
     best_params: dict
     best_score: float
     model: RandomForestClassificationModel | None
+    n_fits: int
 
 
 def cv_results(scores: DataFrame, folds: int, *, candidate: str = "candidate_id", fold: str = "fold",
@@ -71,26 +73,34 @@ def grid_search(
     `preprocess` is for stages that learn from the rows, such as scaling: it is fitted on each
     training fold anew, so held-out rows never leak into it. Leave it out when `features` is ready.
 
-    Per fold the distinct settings are fitted side by side, then all of them are scored in a
-    single pass over the held-out rows. Only scores reach the driver.
+    Candidates that differ only in trees, depth or least split are read off one forest, grown once per fold and least
+    leaf with the most trees and the greatest depth among them; all are judged in one pass over the held-out rows.
+    So there are folds x least leaves fits, side by side, and one more for the winner. Only scores reach the driver.
     """
     spark = prepared.sparkSession
     candidates = param_grid(grid or DEFAULT_GRID)
-    settings = [forest_settings(c) for c in candidates]
-    distinct = [dict(t) for t in dict.fromkeys(tuple(s.items()) for s in settings)]
-    place = [distinct.index(s) for s in settings]
+    rules = [Rule(s["numTrees"], s["maxDepth"], least_split(c)) for s, c in zip(map(forest_settings, candidates), candidates)]
+    by_leaf: dict[int, list[int]] = {}
+    for i, c in enumerate(candidates):
+        by_leaf.setdefault(forest_settings(c)["minInstancesPerNode"], []).append(i)
 
-    rows = []
-    for fold in range(folds):
+    def judged(fold: int, leaf: int, folder: str) -> list[tuple[int, int, int, float | None]]:
+        own = by_leaf[leaf]
         train, held = prepared.where(F.col("fold") != fold), prepared.where(F.col("fold") == fold)
         if preprocess is not None:
             stages = preprocess.fit(train)
             train, held = stages.transform(train), stages.transform(held)
-        fits = [lambda s=s: build_forest(seed, **s).fit(train) for s in distinct]
-        models = in_parallel(spark, fits, parallelism)
-        got = accuracies(held, models)
-        rows += [(i, fold, got[place[i]]) for i in range(len(candidates))]
-    scores = spark.createDataFrame(rows, "candidate_id int, fold int, score double")
+        grown = build_forest(seed, numTrees=max(rules[i].trees for i in own), maxDepth=max(rules[i].depth for i in own),
+                             minInstancesPerNode=leaf).fit(train)
+        nodes = NodeArrays(node_table(spark, saved(grown, folder)))
+        found = hits_by_rule(held, nodes, [rules[i] for i in own])
+        return [(i, fold, n, hits / n if n else None) for i, (n, hits) in zip(own, found)]
+
+    calls = [(fold, leaf) for fold in range(folds) for leaf in by_leaf]
+    got = with_folder(spark, lambda folder: in_parallel(
+        spark, [lambda f=f, m=m: judged(f, m, folder) for f, m in calls], parallelism))
+    rows = sorted(r for each in got for r in each)
+    scores = spark.createDataFrame(rows, "candidate_id int, fold int, n_rows long, score double")
     named = parameter_table(spark.createDataFrame(
         [(i, n, json.dumps(v)) for i, c in enumerate(candidates) for n, v in c.items()],
         "candidate_id int, parameter string, value string",
@@ -101,6 +111,6 @@ def grid_search(
     model = None
     if refit:
         whole = preprocess.fit(prepared).transform(prepared) if preprocess is not None else prepared
-        model = build_forest(seed, **forest_settings(chosen)).fit(whole)
+        model = fit_forest(whole, chosen, seed)
     clean = {n.removeprefix("model__"): v for n, v in chosen.items()}
-    return SearchResult(scores, named, results, clean, best.mean_test_score, model)
+    return SearchResult(scores, named, results, clean, best.mean_test_score, model, len(calls) + refit)

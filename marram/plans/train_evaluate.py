@@ -155,8 +155,7 @@ class TrainEvaluate:
         plain = prepared
         if per_fold is not None:
             plain = preprocessing_pipeline(self.table).fit(prepared).transform(prepared)
-        errors = curve_ops.oob_curve(plain, self.key, found.best_params, classes=self._classes(),
-                                     seed=self.model_seed, parallelism=self.parallelism)
+        errors = curve_ops.oob_curve(plain, self.key, found.best_params, seed=self.model_seed, parallelism=self.parallelism)
         self._write("holdout", {"learning_curve": curve_ops.learning_curve(scores), "oob_curve": errors})
 
 

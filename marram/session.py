@@ -51,6 +51,12 @@ def scratch_path(spark: SparkSession, name: str, *parts: object) -> str:
     return f"{shared_root(spark)}/{spark.sparkContext.applicationId}/{name}-{tag}"
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this application wrote, on whatever file system it lies."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Make `DataFrame.checkpoint()` usable; a directory set by the cluster is kept."""
     if spark.sparkContext.getCheckpointDir() is None:

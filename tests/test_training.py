@@ -80,7 +80,7 @@ def test_bags_are_poisson(spark):
 
 
 def test_oob_curve(prepared):
-    curve = curves.oob_curve(prepared, "row_key", {"n_estimators": 12, "max_depth": 4}, classes=3).orderBy("n_trees").collect()
+    curve = curves.oob_curve(prepared, "row_key", {"n_estimators": 12, "max_depth": 4}).orderBy("n_trees").collect()
     assert [r.n_trees for r in curve] == [5, 10, 12]
     assert all(r.n_scored + r.n_unscored == 150 and 0 <= r.oob_error <= 1 for r in curve)
     assert curve[0].n_unscored >= curve[-1].n_unscored and curve[-1].oob_error < 0.2
