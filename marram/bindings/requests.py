@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark import StorageLevel
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +13,7 @@ from marram.bindings.registry import EVENT_SQL, EVENTS, event_measurements, load
 from marram.functions.features import encode_label
 from marram.functions.payload import parse_payloads
 from marram.operators import scoring
-from marram.operators.forest import build_forest, label_column
+from marram.operators.forest import fit_forest, fitted_rows, training_table
 from marram.operators.preprocess import preprocessing_stages
 from marram.session import scratch_path
 from marram.sources.sinks import read_collection, write_collection
@@ -176,14 +176,21 @@ def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(spark.read.parquet(f"{root}/responses").drop("batch_id"))
 
 
-@query("score_requests_model")
+@query("score_requests_model", f"""
+    with {ROWS_SQL}
+    select event_id, count(*) as n_rows, cast(0 as bigint) as n_unknown, cast(null as varchar) as error from o group by event_id
+    union all
+    select event_id, 0, 0, {ERROR_SQL} from e where event_id % 20 between 2 and 11
+""")
 def score_requests_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same requests under a fitted forest."""
+    """The same requests under the default forest, fitted on a bounded number of labelled events."""
     events = load(spark, sf_dir, "events")
     labelled = event_measurements(events).withColumn("code", encode_label(F.col("event_type"), EVENTS.codes))
-    train = labelled.select(*EVENTS.features, label_column(labelled, "code", len(EVENTS.codes)))
-    stages = [*preprocessing_stages(EVENTS), build_forest(numTrees=5, maxDepth=4)]
-    model = Pipeline(stages=stages).fit(train)
+    stages = Pipeline(stages=preprocessing_stages(EVENTS)).fit(labelled)
+    train = training_table(stages.transform(fitted_rows(labelled, "event_id")), "event_id", "code", len(EVENTS.codes))
+    model = PipelineModel([*stages.stages, fit_forest(train, {})])
     answers = scoring.score_requests(event_requests(events), "raw_data", model.transform, EVENTS.features,
                                      EVENTS.codes, "event_id")
-    return _flat(answers)
+    unknown = F.filter("predicted_labels", lambda v: ~F.coalesce(v.isin(list(EVENTS.codes)), F.lit(False)))
+    return answers.select("event_id", F.coalesce(F.size("predictions"), F.lit(0)).cast("long").alias("n_rows"),
+                          F.coalesce(F.size(unknown), F.lit(0)).cast("long").alias("n_unknown"), "error")

@@ -12,12 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marram.functions.features import quoted
+from marram.functions.hashing import seeded_md5
 from marram.operators.splits import DEFAULT_SEED
 from marram.operators.trees import split_limited, with_folder
 from marram.session import ensure_checkpoint_dir
 
 DEFAULT_TREES = 100  # fixed value: trees of an untuned forest
 ROWS_PER_PARTITION = 100_000  # of training tables
+TRAIN_ROWS = 1000  # the documented bound on labelled rows that registered queries fit forests on
 DEEPEST = 30  # the library's depth limit stands for "no limit"
 
 # The default search space.
@@ -103,6 +105,11 @@ def training_table(df: DataFrame, key: str, label: str, classes: int | None, *ke
     return narrow.repartition(parts, quoted(key)).sortWithinPartitions(quoted(key))
 
 
+def fitted_rows(df: DataFrame, key: str, rows: int = TRAIN_ROWS) -> DataFrame:
+    """The rows that come first by digest of their key: the same ones on any cluster."""
+    return df.orderBy(seeded_md5(DEFAULT_SEED, quoted(key)), quoted(key)).limit(rows)
+
+
 def in_parallel(spark: SparkSession, calls: Iterable[Callable[[], object]], workers: int) -> list:
     """Run independent driver calls side by side, so small fits fill the cluster together."""
     wrap = inheritable_thread_target(spark)
