@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marram.llm.ordinals import with_ordinals
 from marram.llm.tokens import with_counts
 from marram.session import ensure_checkpoint_dir
 
 SALT = "mix-1"
-# Key ranges per source. Only the range that holds a source's cut is ever sorted.
-RANGES = 1 << 16
+# Key ranges per doubling of the key, whatever its magnitude. Only the range that holds a source's cut is ever sorted.
+RANGES = 1 << 11
 # Source tables up to this many rows are broadcast; longer ones are joined by shuffle.
 BROADCAST_SOURCES = 10_000
 
@@ -31,7 +32,8 @@ def _order_key(row_key: Column, weight: Column) -> Column:
 
 
 def _range_of(key: Column) -> Column:
-    return F.floor((1 - F.exp(-key)) * RANGES).cast("int")
+    """Keys of a weight w are spread over 1/w, so a range is a share of an order of magnitude."""
+    return F.floor(F.log2(key) * RANGES).cast("int")
 
 
 def source_targets(sizes: DataFrame, cycle: tuple[int, ...] = (1, 2, 3), cap: int = 3) -> DataFrame:
@@ -74,11 +76,11 @@ def _cuts(narrow: DataFrame, targets: DataFrame) -> DataFrame:
     held = F.broadcast(held) if held.count() <= BROADCAST_SOURCES else held
     inside = narrow.alias("r").join(held.alias("h"), F.col("r.source").eqNullSafe(F.col("h.source"))
                                     & (F.col("r.range") == F.col("h.range")))
-    inside = inside.select("r.source", "r.key", "r.row_key", "r.size", "h.before", "h.rest")
-    running = Window.partitionBy("source").orderBy("key", "row_key")
+    inside = inside.select("r.source", "r.key", "r.row_key", "r.tie", "r.size", "h.before", "h.rest")
+    running = Window.partitionBy("source").orderBy("key", "row_key", "tie")
     middle = F.col("before") + F.sum("size").over(running) - F.col("size") / 2
     last = inside.withColumn("taken", middle <= F.col("rest")).where("taken").groupBy("source").agg(
-        F.max(F.struct("key", "row_key")).alias("last"))
+        F.max(F.struct("key", "row_key", "tie")).alias("last"))
     plan = plan.join(held.select(F.col("source").alias("hs"), F.col("range").alias("cut_range")),
                      F.col("source").eqNullSafe(F.col("hs")), "left").drop("hs")
     return plan.join(last.select(F.col("source").alias("ls"), "last"),
@@ -91,21 +93,23 @@ def with_mix(docs: DataFrame, keep_text: bool = True) -> DataFrame:
     A document is taken once per whole epoch of its source, and once more if its key lies within the rest of
     the budget: rows in key order are taken while the middle of the row is within the rest, so a source
     misses its target by half a document at most. Null texts have size 0; null sources are one source;
-    a null id is keyed by its text. Rows equal in id and text share a key and are taken together. Nothing depends on
-    partitions or runs. An empty table gives an empty result.
+    a null id is keyed by its text. Rows equal in id and text share a key and are told apart by a number, so that some of them
+    may be taken. Nothing depends on partitions or runs. An empty table gives an empty result.
 
     A source of any size is summed by key range; one range per source is sorted.
     """
     spark = docs.sparkSession
     ensure_checkpoint_dir(spark)
-    keyed = with_counts(docs.withColumn("_row_key", _row_key(F.col("doc_id"), F.col("text"))), keep_text=keep_text)
+    tie = F.struct(F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"), F.col("_ordinal").alias("k"))
+    numbered = with_ordinals(docs).withColumns({"_row_key": _row_key(F.col("doc_id"), F.col("text")), "_tie": tie}).drop("_ordinal")
+    keyed = with_counts(numbered, keep_text=keep_text)
     keyed = keyed.withColumn("_key", _order_key(F.col("_row_key"), quality_weight(F.col("_words"), F.col("_symbols"))))
     keyed = keyed.withColumn("_range", _range_of(F.col("_key")))
     narrow = keyed
     if not keep_text:
         keyed = narrow = keyed.checkpoint()
     narrow = narrow.select("source", F.col("_words").alias("size"), F.col("_key").alias("key"),
-                           F.col("_row_key").alias("row_key"), F.col("_range").alias("range"))
+                           F.col("_row_key").alias("row_key"), F.col("_tie").alias("tie"), F.col("_range").alias("range"))
     if keep_text:
         narrow = narrow.checkpoint()
     targets = source_targets(narrow.groupBy("source").agg(F.sum("size").alias("source_size"))).checkpoint()
@@ -114,7 +118,8 @@ def with_mix(docs: DataFrame, keep_text: bool = True) -> DataFrame:
         cuts = F.broadcast(cuts)
     joined = keyed.join(cuts, F.col("source").eqNullSafe(F.col("_cut_source")))
     extra = F.when(F.col("_range") == F.col("cut_range"), F.coalesce(
-        F.struct(F.col("_key").alias("key"), F.col("_row_key").alias("row_key")) <= F.col("last"), F.lit(False)))
+        F.struct(F.col("_key").alias("key"), F.col("_row_key").alias("row_key"), F.col("_tie").alias("tie")) <= F.col("last"),
+        F.lit(False)))
     extra = extra.otherwise(F.coalesce(F.col("_range") < F.col("cut_range"), F.lit(False)))
     copies = F.col("epochs") + extra.cast("long")
     mix = F.struct(F.col("_words").alias("size"), F.col("source_size"), F.col("target"), copies.alias("copies"),
@@ -133,7 +138,8 @@ def mix_report(docs: DataFrame) -> DataFrame:
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The mix itself: each document as often as it is taken, under its own columns."""
     m = with_mix(docs).where("_mix.copies > 0")
-    return m.select(*docs.columns, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_mix.copies")))).drop("col")
+    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_mix.copies")))
+    return m.select(*docs.columns, copies.alias("_mix_copy")).drop("_mix_copy")
 
 
 MIX_SQL = rf"""

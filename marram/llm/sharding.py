@@ -6,6 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from marram.llm.ordinals import with_ordinals
 from marram.llm.tokens import with_counts
 from marram.session import ensure_checkpoint_dir
 
@@ -38,17 +39,17 @@ def with_shards(docs: DataFrame, n_shards: int = 24, keep_text: bool = True) ->
     """Every row with `_size`, `_text_crc32`, `_shard` and `_slot` (gapless from 0 within the shard).
 
     Groups are equal texts (null texts are one group of empty ones). A group stays together while it is
-    no larger than 1/4 of a shard; larger ones are cut by id into pieces of about 1/8, or no packing could
-    be even. The packer sees bundles of small groups and those pieces, a few thousand vectors for any
+    no larger than 1/4 of a shard; larger ones are cut by id, and by a number where an id repeats, into pieces of about 1/8, or
+    no packing could be even. The packer sees bundles of small groups and those pieces, a few thousand vectors for any
     table, so it runs on the driver; so do the sizes of their parts. Slots come from the sizes of the packed items and of
     16 parts by id of each, and a numbering within a part, never within a whole shard. Repeated rows get slots of their own.
     """
     spark = docs.sparkSession
     ensure_checkpoint_dir(spark)
     text = F.coalesce(F.col("text"), F.lit(""))
-    keyed = docs.withColumns({
+    keyed = with_ordinals(docs).withColumns({
         "_text_crc32": F.crc32(text), "_group": F.xxhash64(text),
-        "_id_hash": F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))})
+        "_id_hash": F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col("_ordinal"))})
     keyed = with_counts(keyed, keep_text=keep_text).withColumn("_size", F.col("_bytes") + 8)
     if not keep_text:
         keyed = keyed.checkpoint()
@@ -81,7 +82,7 @@ def with_shards(docs: DataFrame, n_shards: int = 24, keep_text: bool = True) ->
     places = spark.createDataFrame(
         [tuple(map(int, r)) for r in zip(spans["_item"], spans["_piece"], spans["_part"], shard, offset)],
         "_item long, _piece int, _part int, _shard int, _offset long")
-    order = Window.partitionBy("_item", "_piece", "_part").orderBy("doc_id", "_text_crc32")
+    order = Window.partitionBy("_item", "_piece", "_part").orderBy("doc_id", "_text_crc32", "_ordinal")
     placed = itemised(keyed).join(F.broadcast(places), ["_item", "_piece", "_part"])
     columns = [c for c in docs.columns if keep_text or c != "text"]
     return placed.withColumn("_slot", F.col("_offset") + F.row_number().over(order) - 1).select(

@@ -24,7 +24,7 @@ def odd_docs(spark):
         (10, "Größe ß ñ 日本 🙂 " * 30, "de", "c", 1),
     ]
     df = spark.createDataFrame(rows, DOCS)
-    clash = ("score", "size", "shard", "h", "fingerprint", "key", "range", "kept", "line", "n", "u", "v", "x", "doc", "copies")
+    clash = ("score", "size", "shard", "h", "col", "fingerprint", "key", "range", "kept", "line", "n", "u", "v", "x", "doc", "copies")
     return df.select("*", *[F.lit(k).alias(k) for k in clash])
 
 
