@@ -19,6 +19,8 @@ BUCKET_BITS = 20
 LEAN = 4.0
 SIZES = (4, 5, 6)  # bytes; the gap before or after a word counts as one
 WIDTH = 8
+# The average is taken in units of a thirtieth: a few toxic words among very many subwords move it enough to be learned.
+UNIT = 30.0
 THRESHOLD = 0.7
 
 
@@ -57,20 +59,20 @@ class ToxicityModel:
     embeddings: np.ndarray
     softmax: np.ndarray  # WIDTH x 2
     bias: np.ndarray
-    root: float = 0.5  # the bag is divided by its size to this power
 
     def score(self, column: pa.Array) -> np.ndarray:
-        """Softmax of the pooled embeddings. The layer is linear, so each bucket's share is computed once."""
+        """Softmax of the average over all subwords of a text, those outside the vocabulary counting as zero vectors.
+
+        The layer is linear, so each bucket's share is computed once.
+        """
         share = self.embeddings @ (self.softmax[:, 1] - self.softmax[:, 0])
+        share[0] = 0.0
         total, count = np.zeros(len(column)), np.zeros(len(column))
         for first, code, doc in subwords(column):
-            row = self.row[code]
-            known = np.flatnonzero(row)
-            row, doc = row[known], doc[known]
             n = int(doc.max()) + 1 if len(doc) else 0
-            total[first:first + n] += np.bincount(doc, weights=share[row], minlength=n)
+            total[first:first + n] += np.bincount(doc, weights=share[self.row[code]], minlength=n)
             count[first:first + n] += np.bincount(doc, minlength=n)
-        return sigmoid(total / np.maximum(count, 1) ** self.root + self.bias[1] - self.bias[0])
+        return sigmoid(UNIT * total / np.maximum(count, 1) + self.bias[1] - self.bias[0])
 
 
 def _vocabulary(bags: list[np.ndarray], y: np.ndarray) -> np.ndarray:
@@ -86,14 +88,13 @@ def _vocabulary(bags: list[np.ndarray], y: np.ndarray) -> np.ndarray:
     return row
 
 
-def fit(texts: pa.Array, labels: np.ndarray, epochs: int = 60, rate: float = 0.05, seed: int = 11,
-        root: float = 0.5) -> ToxicityModel:
+def fit(texts: pa.Array, labels: np.ndarray, epochs: int = 60, rate: float = 0.05, seed: int = 11) -> ToxicityModel:
     """Choose the vocabulary, then train embeddings and softmax together by Adam on mini-batches."""
     y = labels.astype(np.int64)
     rng = np.random.default_rng(seed)
     size = 1 << BUCKET_BITS
     u, bias = rng.normal(0, 0.3, (WIDTH, 2)), np.zeros(2)
-    model = ToxicityModel(np.zeros(size, dtype=np.int32), np.zeros((1, WIDTH)), u, bias, root)
+    model = ToxicityModel(np.zeros(size, dtype=np.int32), np.zeros((1, WIDTH)), u, bias)
     if len(np.unique(y)) < 2:
         return model
     bags = [(np.empty(0, np.int64), np.empty(0, np.int64))] * len(y)
@@ -103,7 +104,7 @@ def fit(texts: pa.Array, labels: np.ndarray, epochs: int = 60, rate: float = 0.0
         for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
             bags[first + k] = keys[a:b] & (size - 1), counts[a:b]
     model.row = _vocabulary([b for b, _ in bags], y)
-    bags = [(model.row[b][model.row[b] > 0], c[model.row[b] > 0]) for b, c in bags]
+    bags = [(model.row[b][model.row[b] > 0], UNIT * c[model.row[b] > 0] / max(int(c.sum()), 1)) for b, c in bags]
     model.embeddings = e = rng.normal(0, 0.1, (int(model.row.max()) + 1, WIDTH))
     adam, order = Adam([e, u, bias], rate), np.arange(len(y))
     for _ in range(epochs):
@@ -111,7 +112,7 @@ def fit(texts: pa.Array, labels: np.ndarray, epochs: int = 60, rate: float = 0.0
         for low in range(0, len(order), 256):
             batch = order[low:low + 256]
             ids = np.concatenate([bags[k][0] for k in batch])
-            weight = np.concatenate([bags[k][1] / max(bags[k][1].sum(), 1) ** root for k in batch])
+            weight = np.concatenate([bags[k][1] for k in batch])
             doc = np.repeat(np.arange(len(batch)), [len(bags[k][0]) for k in batch])
             pooled = np.stack([np.bincount(doc, weights=weight * e[ids, d], minlength=len(batch)) for d in range(WIDTH)], axis=1)
             logits = pooled @ u + bias

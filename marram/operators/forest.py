@@ -131,8 +131,8 @@ def fit_forest(train: DataFrame, params: Mapping[str, object], seed: int = DEFAU
 def add_predictions(df: DataFrame, models: list, prefix: str = "__p") -> DataFrame:
     """Predictions of many models side by side in one pass over the rows."""
     for i, model in enumerate(models):
-        model.setPredictionCol(f"{prefix}{i}").setProbabilityCol("").setRawPredictionCol("")
-        df = model.transform(df)
+        own = model.copy().setPredictionCol(f"{prefix}{i}").setProbabilityCol("").setRawPredictionCol("")
+        df = own.transform(df)
     return df
 
 

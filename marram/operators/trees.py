@@ -13,6 +13,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -203,5 +204,9 @@ def split_limited(spark: SparkSession, model, split: int, folder: str):
     stored.groupBy("treeID").applyInArrow(_cut_back(split), stored.schema).write.parquet(f"{path}-cut/data")
     spark.read.parquet(f"{path}/treesMetadata").write.parquet(f"{path}-cut/treesMetadata")
     spark.read.text(f"{path}/metadata").write.text(f"{path}-cut/metadata")
-    return type(model).load(f"{path}-cut")
+    loaded = RandomForestClassificationModel.load(f"{path}-cut")
+    # The loaded object lets go of its forest when it goes; the model of the caller's type has one of its own.
+    again = type(model)(loaded._java_obj.copy(loaded._empty_java_param_map()))
+    again._transfer_params_from_java()
+    return again
 
