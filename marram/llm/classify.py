@@ -13,6 +13,8 @@ from marram.llm.tokens import is_held_out
 
 # The documented bound on what a classifier is fitted on: about this many labelled rows of each class.
 ROWS_PER_CLASS = 2000
+# However many classes there are, about so many rows in all.
+ROWS_IN_ALL = 8000
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int = ROWS_PER_CLASS) -> tuple[pa.Array, np.ndarray]:
@@ -20,16 +22,19 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int = ROWS_PE
 
     `labels` has rows (doc_id, label); of several for one id the greatest counts; nulls are left out. The
     choice depends on ids alone: a row is in if the hash of its id falls under its class's share. Only the
-    chosen ids are joined to the texts, and their number is bounded, so they are broadcast.
+    chosen ids are joined to the texts, and their number is bounded, so they are broadcast. An id with several
+    texts counts once, with the text that comes first by hash.
     """
     known = labels.where("doc_id is not null and label is not null").where(~is_held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("label").alias("label"))
-    shares = known.groupBy("label").agg((per_class / F.count(F.lit(1))).alias("share"))
+    most = min(per_class, ROWS_IN_ALL / max(1, known.select("label").distinct().count()))
+    shares = known.groupBy("label").agg((most / F.count(F.lit(1))).alias("share"))
     place = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 30)) / float(1 << 30)
     ids = known.join(F.broadcast(shares), "label").where(place < F.col("share")).select(
         F.col("doc_id").alias("_labelled_id"), "label")
     rows = docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("_labelled_id"))
-    table = rows.select("doc_id", "text", "label").toArrow().sort_by([("doc_id", "ascending")])
+    once = rows.groupBy("doc_id", "label").agg(F.min_by("text", F.xxhash64(F.coalesce("text", F.lit("")))).alias("text"))
+    table = once.toArrow().sort_by([("doc_id", "ascending")])
     return (table.column("text").combine_chunks().cast(pa.large_string()),
             np.array(table.column("label").to_pylist(), dtype=object))
 
