@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from marram.bindings.registry import EVENT_SQL, LINES, PRICE_RULE_SQL, event_measurements, load, price_rule, query
 from marram.bindings.requests import stream_table
 from marram.operators import drift, profiles, timing
+from marram.plans.monitor_store import MonitorStore
 from marram.session import scratch_path
 from marram.streaming.profile import daily_profile, read_daily_profile, stream_daily_profile
 
@@ -45,6 +46,41 @@ def drift_psi_js(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumns({c: F.round(c, 9) for c in ("psi", "js_distance")})
 
 
+MONITOR_BOUNDS = {"value": (1.0, 200.0), "k": (5.0, 95.0)}
+
+
+@query("monitor_daily", f"""
+    with e as (select *, {IS_CURRENT_SQL} as cur, cast(ts - interval 195 minute as date) + 1 as monitor_day from ({EVENT_SQL})),
+    t as (select monitor_day, 'value' as feature, 10 as bins, least(cast(floor(value / 25) as integer), 9) as b, value as v, cur,
+                 value < 1 or value > 200 as outside from e
+          union all select monitor_day, 'k', 5, least(cast(floor(k / 20) as integer), 4), k, cur, k < 5 or k > 95 from e),
+    o as (select feature, b, count(v) as n from t where not cur group by all),
+    d as (select monitor_day, feature, bins, count(*) as n_rows, count(*) - count(v) as n_missing, count(*) filter (outside) as n_outside,
+                 avg(v) as mean, stddev_pop(v) as std, min(v) as low, max(v) as high from t where cur group by all),
+    c as (select monitor_day, feature, b, count(v) as n from t where cur group by all),
+    a as (select d.monitor_day, d.feature, d.bins, u.b, coalesce(o.n, 0) as nb, coalesce(c.n, 0) as nc
+          from d join unnest(range(10)) u(b) on u.b < d.bins left join o on o.feature = d.feature and o.b = u.b
+          left join c on c.monitor_day = d.monitor_day and c.feature = d.feature and c.b = u.b),
+    f as (select *, (nb + 0.5e0) / (sum(nb) over w + 0.5e0 * bins) as pb, (nc + 0.5e0) / (sum(nc) over w + 0.5e0 * bins) as pc
+          from a window w as (partition by monitor_day, feature)),
+    m as (select monitor_day, feature, sum((pc - pb) * ln(pc / pb)) as psi,
+                 sqrt(0.5e0 * sum(pb * ln(2 * pb / (pb + pc)) + pc * ln(2 * pc / (pb + pc)))) as js from f group by all)
+    select strftime(monitor_day, '%Y-%m-%d') as monitor_day, feature, n_rows, n_missing, n_outside, round(mean, 6) as mean,
+           round(std, 6) as std, low, high, round(psi, 9) as psi, round(js, 9) as js_distance
+    from d join m using (monitor_day, feature)
+""")
+def monitor_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Later events arrive in three batches that each touch every day; one of them arrives twice. Earlier ones are the baseline."""
+    rows = event_measurements(load(spark, sf_dir, "events"))
+    store = MonitorStore(scratch_path(spark, "monitor_daily", sf_dir), {"value": VALUE_EDGES, "k": K_EDGES}, MONITOR_BOUNDS)
+    store.set_baseline(rows.where(~is_current()))
+    for batch in (0, 1, 2, 1):
+        store.add(rows.where(is_current() & (F.col("event_id") % 3 == batch)), batch, "ts")
+    found = store.report(spark).withColumn("monitor_day", F.col("monitor_day").cast("string"))
+    rounded = {"mean": 6, "std": 6, "psi": 9, "js_distance": 9}
+    return found.withColumns({c: F.round(c, digits) for c, digits in rounded.items()})
+
+
 @query("drift_ks_w1", f"""
     with e as (select value as v, {IS_CURRENT_SQL} as cur from events),
     g as (select v, count(*) filter (not cur) as nb, count(*) filter (cur) as nc from e group by v),

@@ -16,6 +16,7 @@ from marram.operators import scoring
 from marram.operators.forest import fit_forest, fitted_rows, training_table
 from marram.operators.preprocess import preprocessing_stages
 from marram.session import scratch_path
+from marram.sources.readers import read_requests
 from marram.sources.sinks import read_collection, write_collection
 from marram.streaming.scoring import stream_scores
 
@@ -107,6 +108,21 @@ def _flat(answers: DataFrame) -> DataFrame:
                           F.array_join("predicted_labels", ",").alias("predicted_labels"), "error")
 
 
+@query("request_files", """
+    select cast(case when event_id % 20 between 2 and 11 then event_id % 20 else 0 end as integer) as error_code,
+           2 * count(*) as n_requests, 2 * count(*) as n_ids
+    from events group by 1
+""")
+def request_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every request body twice in text files, read back under ids of its own and judged."""
+    bodies = event_requests(load(spark, sf_dir, "events")).select("raw_data")
+    path = scratch_path(spark, "request_files", sf_dir)
+    bodies.unionAll(bodies).write.mode("overwrite").text(path)
+    judged = parse_payloads(read_requests(spark, path), "raw_data", EVENTS.features)
+    return judged.groupBy(F.coalesce("error_code", F.lit(0)).alias("error_code")).agg(
+        F.count(F.lit(1)).alias("n_requests"), F.countDistinct("request_id").alias("n_ids"))
+
+
 SCORES_SQL = f"""
     with {ROWS_SQL}
     select event_id, string_agg(cast(prediction as varchar), ',' order by row_pos) as predictions,

@@ -18,7 +18,7 @@ def _xlogy(x: Column, y: Column) -> Column:
     return F.when(x == 0, F.lit(0.0)).otherwise(x * F.ln(y))
 
 
-def _js(pb: Column, pc: Column) -> Column:
+def js_share(pb: Column, pc: Column) -> Column:
     """One bin's share of the Jensen–Shannon divergence."""
     mid = pb + pc
     return 0.5 * (_xlogy(pb, 2 * pb / mid) + _xlogy(pc, 2 * pc / mid))
@@ -63,7 +63,7 @@ def binned_drift(df: DataFrame, current: Column, edges: Mapping[str, Sequence[fl
     smooth = full.select("feature", share(hit["nb"], "tb").alias("pb"), share(hit["nc"], "tc").alias("pc"))
     pb, pc = F.col("pb"), F.col("pc")
     measured = smooth.groupBy("feature").agg(
-        F.sum((pc - pb) * F.ln(pc / pb)).alias("psi"), F.sqrt(F.sum(_js(pb, pc))).alias("js_distance")
+        F.sum((pc - pb) * F.ln(pc / pb)).alias("psi"), F.sqrt(F.sum(js_share(pb, pc))).alias("js_distance")
     )
     return listed.join(measured, "feature", "left")
 
@@ -83,7 +83,7 @@ def categorical_drift(df: DataFrame, column: str, current: Column) -> DataFrame:
     return shares.agg(
         F.lit(column).alias("feature"), F.count(F.lit(1)).alias("labels"),
         (0.5 * F.sum(F.abs(pb - pc))).alias("total_variation"),
-        F.sqrt(F.sum(F.when(pb.isNotNull() & pc.isNotNull(), _js(pb, pc)))).alias("js_distance"),
+        F.sqrt(F.sum(F.when(pb.isNotNull() & pc.isNotNull(), js_share(pb, pc)))).alias("js_distance"),
     ).select("feature", "labels", "total_variation", "js_distance")
 
 

@@ -5,13 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
+import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from marram.functions.features import quoted, require_columns
 from marram.schema import FeatureSetSpec, MeasuredTable
+from marram.session import ensure_checkpoint_dir
 
 
 def read_canonical_csv(spark: SparkSession, path: str, table: MeasuredTable,
@@ -132,16 +135,58 @@ def read_feature_set(spark: SparkSession, spec: FeatureSetSpec, path: str | None
     return kept, checked.where(F.col("reject_reason").isNotNull())
 
 
-def read_requests(spark: SparkSession, path: str, *, streaming: bool = False) -> DataFrame:
+# Equal bodies of a file are counted and numbered in so many parts.
+BODY_PARTS = 64
+
+
+def read_requests(spark: SparkSession, path: str) -> DataFrame:
     """Payload text, one request per line, with an id made of the file, the body and its number among equal bodies.
 
-    Equal lines of a file are alike, so it does not matter which of them gets which number: ids are the same for any
-    split of the files. A stream keeps no such count; there, equal lines of one file share an id.
+    Equal lines of a file are alike, so only how many there are matters: they are counted in parts, on the map side first, and the
+    counts are spread out again with running numbers. Ids are distinct, and the same for any split of the files.
     """
-    source = spark.readStream if streaming else spark.read
-    lines = source.schema("value string").text(path)
-    rows = lines.select(F.col("value").alias("raw_data"), F.md5(F.concat_ws(":", "_metadata.file_path", "value")).alias("key"))
-    if streaming:
-        return rows.withColumnRenamed("key", "request_id")
-    number = F.row_number().over(Window.partitionBy("key").orderBy("raw_data")).cast("string")
-    return rows.select("raw_data", F.md5(F.concat_ws(":", "key", number)).alias("request_id"))
+    lines = spark.read.schema("value string").text(path)
+    keyed = lines.select(F.col("value").alias("raw_data"), body_key(), F.pmod(F.monotonically_increasing_id(), F.lit(BODY_PARTS)).alias("part"))
+    # Written once: where a line's part was drawn, its count is final.
+    ensure_checkpoint_dir(spark)
+    counts = keyed.groupBy("key", "raw_data", "part").agg(F.count(F.lit(1)).alias("n")).checkpoint()
+    upto = Window.partitionBy("key").orderBy("part").rowsBetween(Window.unboundedPreceding, 0)  # at most 64 rows
+    numbered = counts.withColumn("upto", F.sum("n").over(upto))
+    # The parts of a crowded body are spread out by different tasks.
+    rows = numbered.repartition("key", "part").select("raw_data", "key", F.explode(F.sequence(F.col("upto") - F.col("n") + 1, F.col("upto"))).alias("number"))
+    return rows.select("raw_data", request_id(F.col("key"), F.col("number")))
+
+
+def body_key() -> Column:
+    return F.md5(F.concat_ws(":", "_metadata.file_path", "value")).alias("key")
+
+
+def request_id(key: Column, number: Column) -> Column:
+    return F.md5(F.concat_ws(":", key, number.cast("string"))).alias("request_id")
+
+
+class _Counter(StatefulProcessor):
+    """How many equal bodies have been seen, per key; every row takes the next number."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.seen = handle.getValueState("seen", "n long")
+
+    def handleInputRows(self, key, rows, timerValues):
+        state = self.seen.get() if self.seen.exists() else None
+        n = state[0] if state else 0
+        for part in rows:
+            yield pd.DataFrame({"key": key[0], "raw_data": part["raw_data"], "number": range(n + 1, n + 1 + len(part))})
+            n += len(part)
+        self.seen.update((n,))
+
+    def close(self) -> None:
+        pass
+
+
+def stream_requests(spark: SparkSession, path: str) -> DataFrame:
+    """The same ids on a stream of payload files: a counter per file and body carries on from batch to batch."""
+    lines = spark.readStream.schema("value string").text(path)
+    keyed = lines.select(F.col("value").alias("raw_data"), body_key())
+    numbered = keyed.groupBy("key").transformWithStateInPandas(
+        _Counter(), "key string, raw_data string, number long", "append", "None")
+    return numbered.select("raw_data", request_id(F.col("key"), F.col("number")))

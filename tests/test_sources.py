@@ -83,3 +83,24 @@ def test_run_folders():
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_root(spark) == spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "a", 1) == scratch_path(spark, "a", 1) != scratch_path(spark, "a", 2)
+
+
+def test_stream_ids_equal_batch_ids(spark, tmp_path):
+    """Equal bodies have different ids, the same in batch and stream, whatever arrives together."""
+    source = tmp_path / "in"
+    source.mkdir()
+    (source / "a.txt").write_text("x\nx\ny\n" * 30)
+    (source / "b.txt").write_text("x\nz\n")
+    batch = {(r.raw_data, r.request_id) for r in readers.read_requests(spark, str(source)).collect()}
+    assert len(batch) == 92
+    running = readers.stream_requests(spark, str(source)).writeStream.format("parquet").option(
+        "checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start(str(tmp_path / "out"))
+    running.awaitTermination()
+    rows = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert len(rows) == 92 and {(r.raw_data, r.request_id) for r in rows} == batch
+
+
+def test_a_crowded_body_is_numbered_in_parts(spark, tmp_path):
+    (tmp_path / "r.txt").write_text("same\n" * 5000)
+    ids = readers.read_requests(spark, str(tmp_path / "r.txt")).select("request_id")
+    assert ids.distinct().count() == 5000
