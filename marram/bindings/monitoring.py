@@ -65,8 +65,8 @@ MONITOR_BOUNDS = {"value": (1.0, 200.0), "k": (5.0, 95.0)}
           from a window w as (partition by monitor_day, feature)),
     m as (select monitor_day, feature, sum((pc - pb) * ln(pc / pb)) as psi,
                  sqrt(0.5e0 * sum(pb * ln(2 * pb / (pb + pc)) + pc * ln(2 * pc / (pb + pc)))) as js from f group by all)
-    select strftime(monitor_day, '%Y-%m-%d') as monitor_day, feature, n_rows, n_missing, n_outside, round(mean, 6) as mean,
-           round(std, 6) as std, low, high, round(psi, 9) as psi, round(js, 9) as js_distance
+    select strftime(monitor_day, '%Y-%m-%d') as monitor_day, feature, n_rows, n_missing, n_outside, round(mean, 9) as mean,
+           round(std, 9) as std, low, high, round(psi, 9) as psi, round(js, 9) as js_distance
     from d join m using (monitor_day, feature)
 """)
 def monitor_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,7 +77,7 @@ def monitor_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     for batch in (0, 1, 2, 1):
         store.add(rows.where(is_current() & (F.col("event_id") % 3 == batch)), batch, "ts")
     found = store.report(spark).withColumn("monitor_day", F.col("monitor_day").cast("string"))
-    rounded = {"mean": 6, "std": 6, "psi": 9, "js_distance": 9}
+    rounded = {"mean": 9, "std": 9, "psi": 9, "js_distance": 9}
     return found.withColumns({c: F.round(c, digits) for c, digits in rounded.items()})
 
 
@@ -190,7 +190,7 @@ def stream_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
         union all
         select event_id, 'in', avg(value) over (partition by event_type order by ts
                    range between interval '10' minute preceding and current row) from events)
-    select event_id, action, round(mean, 6) as mean, case when action = 'out' then mean > 70 else mean < 30 end as fires from m
+    select event_id, action, round(mean, 9) as mean, case when action = 'out' then mean > 70 else mean < 30 end as fires from m
 """)
 def trailing_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = timing.trailing_threshold(load(spark, sf_dir, "events"), row_id="event_id", series="event_type",
