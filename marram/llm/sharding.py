@@ -47,7 +47,7 @@ def with_shards(docs: DataFrame, n_shards: int = 24, keep_text: bool = True) ->
     spark = docs.sparkSession
     ensure_checkpoint_dir(spark)
     text = F.coalesce(F.col("text"), F.lit(""))
-    keyed = with_ordinals(docs).withColumns({
+    keyed = with_ordinals(docs, n_shards * ALONE_PER_SHARD).withColumns({
         "_text_crc32": F.crc32(text), "_group": F.xxhash64(text),
         "_id_hash": F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col("_ordinal"))})
     keyed = with_counts(keyed, keep_text=keep_text).withColumn("_size", F.col("_bytes") + 8)
