@@ -241,6 +241,24 @@ def entity_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entities.with_entity_ids(load(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey")
 
 
+@query("entity_ids_text", """
+    select c_name, 'flower_' || lpad(cast(row_number() over (order by c_name) as varchar), 5, '0') as flower_id from customer
+""")
+def entity_ids_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    numbered = entities.with_entity_ids(load(spark, sf_dir, "customer").select("c_name"), "c_name")
+    return numbered.select("c_name", "flower_id")
+
+
+@query("entity_ids_composite", """
+    select o_orderkey, row_number() over (order by o_orderpriority, o_orderdate, o_orderkey) as number from orders
+""")
+def entity_ids_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows numbered by a text, a time and a number together; the first alone has five values."""
+    keys = ["o_orderpriority", "o_orderdate", "o_orderkey"]
+    numbered = entities.with_entity_ids(load(spark, sf_dir, "orders").select(*keys), keys, key_format="%d")
+    return numbered.select("o_orderkey", F.col("flower_id").cast("long").alias("number"))
+
+
 SPLIT_SQL = """
     with c as (select o_orderstatus as label, count(*) as n from orders group by 1),
     t as (select *, sum(n) over () as total, cast(ceil(0.2e0 * sum(n) over ()) as bigint) as n_test from c),

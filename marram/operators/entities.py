@@ -7,9 +7,12 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from marram.functions.features import quoted, require_columns
-from marram.operators.ranking import global_rank, range_edges, small_side, with_range_bucket
+from marram.operators.ranking import (
+    global_rank, order_text, range_edges, small_side, with_range_bucket, with_text_bucket,
+)
 from marram.schema import MeasuredTable
 from marram.session import bucket_target
 
@@ -21,7 +24,7 @@ EVENT_STEP = timedelta(hours=1)
 
 def with_entity_ids(
     df: DataFrame,
-    order_key: str,
+    order_key: str | Sequence[str],
     *,
     id_column: str = "flower_id",
     time_column: str = "event_timestamp",
@@ -30,10 +33,16 @@ def with_entity_ids(
     step: timedelta = EVENT_STEP,
     buckets: int | None = None,
 ) -> DataFrame:
-    """Number the rows along a unique numeric key; give each a text id and a stepped event time."""
-    edges = range_edges(df, quoted(order_key), buckets)
-    placed = with_range_bucket(df, quoted(order_key), edges, "__range")
-    ranked = global_rank(placed, bucket=["__range"], order=[quoted(order_key)], out="__rank")
+    """Number the rows along a unique key; give each a text id and a stepped event time.
+
+    The key is a number, a text, a date, a time, or several such columns in their order.
+    """
+    names = [order_key] if isinstance(order_key, str) else list(order_key)
+    if len(names) == 1 and isinstance(df.schema[names[0]].dataType, NumericType):
+        placed = with_range_bucket(df, quoted(names[0]), range_edges(df, quoted(names[0]), buckets), "__range")
+    else:
+        placed = with_text_bucket(df, order_text(df, names), "__range", buckets)
+    ranked = global_rank(placed, bucket=["__range"], order=[quoted(n) for n in names], out="__rank")
     micros = (first_event - datetime(1970, 1, 1)) // timedelta(microseconds=1)
     width = step // timedelta(microseconds=1)
     # NTZ arithmetic keeps the text independent of the session time zone.

@@ -11,9 +11,11 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 
 import numpy as np
+import pandas as pd
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marram.functions.features import quoted
 from marram.session import bucket_target
@@ -81,6 +83,42 @@ def with_range_bucket(df: DataFrame, order: Column, edges: Sequence[float], out:
     return cut.withColumn(out, F.col(out).cast("int")).drop(held)
 
 
+def order_text(df: DataFrame, names: Sequence[str]) -> Column:
+    """A text that sorts, byte by byte, as rows sort by these columns: text, whole numbers, dates and times; nulls first."""
+    parts = []
+    for name in names:
+        kind, col = df.schema[name].dataType, quoted(name)
+        if isinstance(kind, T.StringType):
+            told = F.hex(col)
+        elif isinstance(kind, T.IntegralType):
+            told = F.lpad(F.hex(col.cast("long").bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")
+        elif isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+            told = F.date_format(col, "yyyyMMddHHmmssSSSSSS")
+        else:
+            raise TypeError(f"{name}: {kind.simpleString()} has no order as text here")
+        # The sign that ends a part is less than any digit, and that of a value more than that of a null.
+        parts.append(F.coalesce(F.concat(F.lit("#"), told, F.lit("!")), F.lit("!")))
+    return F.concat(*parts)
+
+
+def with_text_bucket(df: DataFrame, order: Column, out: str, buckets: int | None = None) -> DataFrame:
+    """Number of the range a text falls in; edges come from a sample of bounded size and never decide a result."""
+    buckets = buckets or bucket_target(df.sparkSession)
+    placed = df.withColumn(f"{out}__text", order)
+    rows = min(EDGE_SAMPLE_ROWS, 64 * buckets)
+    share = min(1.0, rows / max(placed.count(), 1))
+    sample = placed.select(f"{out}__text")
+    held = (sample if share == 1.0 else sample.sample(withReplacement=False, fraction=share, seed=17)).toArrow()
+    known = np.sort(held.column(0).to_numpy(zero_copy_only=False).astype(object))
+    edges = np.unique(known[np.arange(1, buckets) * known.size // buckets]) if known.size else known
+
+    @F.pandas_udf("int")
+    def bucket(texts: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(edges, texts.to_numpy(dtype=object), side="right"))
+
+    return placed.withColumn(out, bucket(f"{out}__text")).drop(f"{out}__text")
+
+
 def running_totals(
     df: DataFrame,
     sums: Mapping[str, Column],

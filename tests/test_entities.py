@@ -4,6 +4,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from marram.operators.catalogs import (
     first_by_key, latest_by, latest_version, next_version, require_latest, traffic_shares,
@@ -104,3 +105,16 @@ def test_traffic(spark):
                                "endpoint string, deployment string, n int")
     got = {tuple(r) for r in traffic_shares(df, "endpoint", "deployment", "n", "blue").collect()}
     assert got == {("e1", 90, True, "green", 10, 1.0), ("e2", 100, True, "blue", 0, 0.0), ("e3", 0, False, "green", 100, 1.0)}
+
+
+def test_keys_of_any_orderable_type(spark):
+    """Texts with prefixes of each other, nulls, negative numbers and times are numbered as Spark sorts them."""
+    texts = ["", "a", "ab", "a!", "a b", "é", "z", "flower_1", "flower_10", "flower_2", None]
+    rows = [(t, n, f"2024-01-0{1 + n % 3} 00:00:0{n % 7}.{n % 2}") for t in texts for n in (-5, -1, 0, 7, 1 << 40)]
+    df = spark.createDataFrame(rows, "t string, n long, at string").withColumn("at", F.col("at").cast("timestamp_ntz"))
+    for keys in (["t", "n"], ["at", "t", "n"], ["n", "t"]):
+        got = with_entity_ids(df.repartition(5), keys, key_format="%d", buckets=7).collect()
+        wanted = {(r.t, r.n): k for k, r in enumerate(df.orderBy(*keys).collect(), 1)}
+        assert {(r.t, r.n): int(r.flower_id) for r in got} == wanted
+    with pytest.raises(TypeError, match="no order"):
+        with_entity_ids(df.withColumn("d", F.lit(1.5)), ["t", "d"])
