@@ -21,9 +21,11 @@ CONTEXT = 2
 HIDDEN = 32
 THRESHOLD = 0.5
 
-_IS = {name: np.isin(np.arange(256), list(chars)).astype(np.int64) for name, chars in {
-    "upper": b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", "lower": b"abcdefghijklmnopqrstuvwxyz", "digit": b"0123456789",
-    "symbol": b"#*$%&|<>", "stop": b".,;:?", "shout": b"!"}.items()}
+# Bits of a word's look that any of its bytes sets; a second capital, repetition and length are the others.
+_LOOK = np.zeros(256, dtype=np.uint8)
+for _bit, _chars in ((0, b"#*$%&|<>"), (2, b"abcdefghijklmnopqrstuvwxyz"), (3, b"!"), (5, b".,;:?"), (6, b"0123456789")):
+    _LOOK[list(_chars)] |= 1 << _bit
+_UPPER = np.isin(np.arange(256), list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ")).astype(np.int32)
 
 
 def word_ids(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -35,15 +37,13 @@ def word_ids(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np
             continue
         low = LOWER[chunk.buf]
         hashes = hash_spans(low, words.start, words.end)
-        count = {n: np.diff(np.concatenate([[0], np.cumsum(t[chunk.buf])])[np.stack([words.start, words.end])], axis=0)[0]
-                 for n, t in _IS.items()}
-        length = words.end - words.start
+        # What lies between two words sets no bit, so a word's bytes reach up to the next word's.
+        look = np.bitwise_or.reduceat(_LOOK[chunk.buf], words.start).astype(np.int64)
+        capitals = np.add.reduceat(_UPPER[chunk.buf], words.start)
         same = np.zeros(len(hashes), dtype=bool)
         same[1:] = (hashes[1:] == hashes[:-1]) & (words.doc[1:] == words.doc[:-1])
-        shape = ((count["symbol"] > 0) | (count["upper"] > 1).astype(np.int64) << 1 | (count["lower"] > 0).astype(np.int64) << 2
-                 | (count["shout"] > 0).astype(np.int64) << 3 | same.astype(np.int64) << 4
-                 | (count["stop"] > 0).astype(np.int64) << 5 | (count["digit"] > 0).astype(np.int64) << 6
-                 | (length > 6).astype(np.int64) << 7)
+        shape = (look | (capitals > 1).astype(np.int64) << 1 | same.astype(np.int64) << 4
+                 | (words.end - words.start > 6).astype(np.int64) << 7)
         yield chunk.first_row, words.first, (hashes % np.uint64(VOCABULARY)).astype(np.int64), shape
 
 
@@ -110,6 +110,7 @@ class QualityModel:
     scale: np.ndarray
     layers: list[np.ndarray]
     temperature: float
+    _shares: tuple | None = None
 
     def pooled(self, column: pa.Array) -> np.ndarray:
         """Mean word vector and mean shape vector of each text, and the log of its word count."""
@@ -130,7 +131,21 @@ class QualityModel:
         return np.tanh(((pooled - self.mean) / self.scale) @ w1 + b1) @ w2 + b2[0]
 
     def score(self, column: pa.Array) -> np.ndarray:
-        return sigmoid(self.logits(self.pooled(column)) / self.temperature).astype(np.float64)
+        """The network over the pooled vectors. Pooling and the first layer are linear, so each word's share is computed once."""
+        w1, b1, w2, b2 = self.layers
+        if self._shares is None:
+            first = w1 / self.scale[:, None]
+            self._shares = ((self.words @ first[:WIDTH]).astype(np.float32), (self.shapes @ first[WIDTH:2 * WIDTH]).astype(np.float32),
+                            first[-1], b1 - self.mean @ first)
+        words, shapes, length, base = self._shares
+        hidden = np.tile(base, (len(column), 1))
+        for row, first, w, s in word_ids(column):
+            n = np.diff(first)
+            full = np.flatnonzero(n)
+            if len(full):
+                summed = np.add.reduceat(words[w] + shapes[s], first[full], axis=0)
+                hidden[row + full] += summed / n[full, None] + np.log1p(n[full])[:, None] * length
+        return sigmoid((np.tanh(hidden) @ w2 + b2[0]) / self.temperature).astype(np.float64)
 
 
 def fit(texts: pa.Array, labels: np.ndarray, epochs: int = 60, seed: int = 7,
