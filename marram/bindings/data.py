@@ -9,7 +9,7 @@ from marram.bindings.registry import (
     EVENT_SQL, EVENTS, LINES, STATUS_CODES, event_measurements, load, query,
 )
 from marram.functions.features import decode_label, encode_label, unknown_labels
-from marram.functions.text import abfss_uri, parse_store_uri, text_to_bool
+from marram.functions.text import STORE_PREFIX, abfss_uri, parse_store_uri, text_to_bool
 from marram.operators import catalogs, entities, splits
 from marram.schema import ISO_SECONDS, FeatureSetSpec
 from marram.session import scratch_path
@@ -86,7 +86,7 @@ def feature_set_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def asset_uri_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     doc = F.col("doc_id").cast("string")
-    store = F.lit("azureml://datastores/")
+    store = F.lit(STORE_PREFIX)
     uri = (
         F.when(F.col("doc_id") % 5 == 0, F.concat(F.lit("https://host/"), "source", F.lit("/paths/"), doc))
         .when(F.col("doc_id") % 7 == 0, F.concat(store, "source", F.lit("/files/"), doc))

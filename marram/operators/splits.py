@@ -48,6 +48,12 @@ def _check_sizes(sizes: DataFrame, test_size: float) -> None:
         raise ValueError(f"test_size={test_size} leaves fewer rows than the {row.k} classes on one side")
 
 
+def _check_unique(df: DataFrame, key: str) -> None:
+    repeated = df.groupBy(quoted(key).alias("key")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").first()
+    if repeated is not None:
+        raise ValueError(f"key {key} is not unique: {repeated.key!r} has {repeated.n} rows")
+
+
 def split_quotas(df: DataFrame, label: str, test_size: float = DEFAULT_TEST_SIZE) -> DataFrame:
     """Test rows per class by largest remainder; the total is ceil(test_size * rows).
 
@@ -80,11 +86,12 @@ def stratified_split(
     strict: bool = False,
     digits: int | None = None,
 ) -> DataFrame:
-    """Add a `train`/`test` column with exact class quotas. `key` must be unique."""
+    """Add a `train`/`test` column with exact class quotas. `key` must be unique; `strict` checks that and the sizes."""
     digested = _digested(df, key, seed, digits)
     quotas = split_quotas(df, label, test_size)
     if strict:
         _check_sizes(quotas, test_size)
+        _check_unique(df, key)
     wanted = quotas.where("quota > 0").select(
         F.struct("label").alias("__g"), F.lit("test").alias("target"), F.col("quota").alias("want")
     )

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from marram.operators.timing import SCALING_RULES, sliding_means
-from marram.plans.feature_source import prepare_feature_source, read_registry
+from marram.operators.forest import in_parallel
+from marram.plans.feature_source import claim_version, prepare_feature_source, read_registry, registered_spec
 from marram.plans.monitor_daily import monitor_daily
 from marram.plans.score_batch import score_batch
 from marram.schema import FLOWERS
@@ -75,3 +76,21 @@ def test_sliding_rule_on_a_stream(spark, tmp_path):
         "checkpointLocation", str(tmp_path / "check")).trigger(availableNow=True).start().awaitTermination()
     assert {(r.window_end, r.fires) for r in spark.read.parquet(out).collect()} == batch
     assert sum(f for _, f in batch) == 6
+
+
+def test_registry_reads_back_as_a_spec(spark, flowers, tmp_path):
+    root = str(tmp_path / "store")
+    flowers.write.parquet(str(tmp_path / "flowers"))
+    chain = [Candidate("table", str(tmp_path / "flowers"))]
+    written = [prepare_feature_source(spark, chain, FLOWERS, "row_key", root, id_column="plant") for _ in range(2)]
+    for spec in written:
+        again = registered_spec(spark, root, "feature_source", spec.version)
+        assert again == spec and again.index == ("plant",)
+        assert read_feature_set(spark, again, format="parquet")[0].count() == 150
+    with pytest.raises(LookupError):
+        registered_spec(spark, root, "feature_source", "9")
+
+
+def test_versions_are_claimed_once(spark, tmp_path):
+    claims = [lambda: claim_version(spark, str(tmp_path), "x", "3")] * 6
+    assert sorted(in_parallel(spark, claims, 6)) == ["3", "4", "5", "6", "7", "8"]

@@ -105,3 +105,9 @@ def test_small_side_is_broadcast_only_within_its_limit(spark, capsys):
     for limit, literal in ((50, True), (49, False)):
         spark.range(5).join(small_side(df, limit), "id").explain()
         assert ("LocalTableScan" in capsys.readouterr().out) == literal
+
+
+def test_strict_split_refuses_repeated_keys(spark):
+    df = spark.createDataFrame([(k // 2, "ab"[k % 2]) for k in range(40)], "k long, c string")
+    with pytest.raises(ValueError, match="not unique"):
+        stratified_split(df, "k", "c", strict=True)
