@@ -31,7 +31,7 @@ def with_ordinals(docs: DataFrame, shares: int | None = None) -> DataFrame:
     if shares is not None:
         rows, size = marks.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("size"), F.lit(0))).first()
         large &= (F.col("n") * shares > rows) | (F.col("size") * shares > size)
-    repeated = marks.where(large).select(F.col("doc_id").alias("_id"), F.col("h").alias("_h")).checkpoint()
+    repeated = marks.where(large).select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"))
     n_repeated = repeated.count()
     if n_repeated == 0:
         return docs.withColumn("_ordinal", F.lit(0).cast("long"))
