@@ -1,4 +1,8 @@
-"""Near copies: texts whose sets of five-word shingles are at least 0.8 alike, found by an exact prefix join.
+"""Near copies: texts whose sets of five-word shingles are at least 0.8 alike, found by SimHash and an exact prefix join.
+
+Every set has a 64-bit SimHash fingerprint. Covering masks bring all fingerprints within 3 bits together (`simhash.near_links`), and
+these candidates are compared as sets first. A fingerprint may differ in more bits at 0.8, so an exact join follows for all
+sets that are not joined by then.
 
 All shingles have one order. Of two sets that share four fifths of the larger, each holds a shared shingle among its
 first n - ceil(4n / 5) + 1, so every such pair meets under some shingle of these prefixes. The least key of a shingle's
@@ -22,7 +26,7 @@ from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, Stru
 
 from marram.llm.components import components
 from marram.llm.decontaminate import SHINGLE, expand, shingle_hashes
-from marram.llm.simhash import SEED, one_per_root
+from marram.llm.simhash import SEED, fingerprint_of, near_links, one_per_root
 from marram.llm.tokens import LOWER, chunks, find_words, hash_spans
 from marram.session import ensure_checkpoint_dir, shared_root
 
@@ -55,6 +59,10 @@ def set_key(shingles: np.ndarray) -> int:
     return xxhash.xxh64_intdigest(shingles.tobytes(), SEED)
 
 
+def _as_long(bits: int) -> int:
+    return bits - (1 << 64) if bits >= 1 << 63 else bits
+
+
 def prefix(shingles: np.ndarray, often: np.ndarray) -> np.ndarray:
     """The first n - ceil(4n / 5) + 1 shingles, those of the sorted array `often` last."""
     n = len(shingles)
@@ -81,7 +89,7 @@ def folded(bits: np.ndarray, words: int) -> np.ndarray:
 
 
 def _table(docs: DataFrame, often: np.ndarray, folder: str) -> DataFrame:
-    """(o, x, n, parity, prefix) for every row, written and read again.
+    """(o, x, n, mark, parity, prefix) for every row, written and read again. `mark` is the set's SimHash fingerprint.
 
     `x` stands for the row's set. A task gives the columns after it once for equal sets; elsewhere they are null.
     """
@@ -89,22 +97,23 @@ def _table(docs: DataFrame, often: np.ndarray, folder: str) -> DataFrame:
     keyed = docs.select(F.struct("doc_id", F.xxhash64(*docs.columns).alias("row")).alias("o"), "text")
     schema = StructType([
         StructField("o", keyed.schema["o"].dataType), StructField("x", LongType()), StructField("n", LongType()),
-        StructField("parity", BinaryType()), StructField("prefix", ArrayType(LongType()))])
+        StructField("mark", LongType()), StructField("parity", BinaryType()), StructField("prefix", ArrayType(LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            keys, sizes, bits, prefixes = [], [], [], []
+            keys, sizes, marks, bits, prefixes = [], [], [], [], []
             for own in shingle_sets(batch.column(1)):
                 keys.append(set_key(own))
                 fresh = keys[-1] not in seen
                 seen.add(keys[-1])
                 sizes.append(len(own) if fresh else None)
+                marks.append(_as_long(fingerprint_of(own)) if fresh else None)
                 bits.append(parity(own).tobytes() if fresh else None)
                 prefixes.append(prefix(own, shared.value).view(np.int64) if fresh else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(np.array(keys, dtype=np.uint64).view(np.int64)), pa.array(sizes, type=pa.int64()),
-                 pa.array(bits, type=pa.binary()), pa.array(prefixes, type=pa.list_(pa.int64()))], names=schema.names)
+                 pa.array(marks, type=pa.int64()), pa.array(bits, type=pa.binary()), pa.array(prefixes, type=pa.list_(pa.int64()))], names=schema.names)
 
     keyed.mapInArrow(run, schema).write.option("compression", "zstd").parquet(folder)
     return docs.sparkSession.read.schema(schema).parquet(folder)
@@ -292,37 +301,62 @@ def _alike(docs: DataFrame, points: DataFrame, roots: DataFrame, pairs: DataFram
     return _against_first(_with_payload(pairs, texts), load, _set_score).select("u", "v").distinct().checkpoint()
 
 
-def _rooted(prints: DataFrame, links: DataFrame) -> DataFrame:
-    """(x, n, bytes, root) of every set."""
+def _rooted(sets: DataFrame, links: DataFrame) -> DataFrame:
+    """The columns of every set, with its `root`."""
     joined = components(links).withColumnRenamed("node", "x")
-    return prints.select("x", "n", F.octet_length("payload").alias("bytes")).join(joined, "x", "left").withColumn(
-        "root", F.coalesce("root", "x")).checkpoint()
+    return sets.join(joined, "x", "left").withColumn("root", F.coalesce("root", "x")).checkpoint()
+
+
+def simhash_pairs(marks: DataFrame) -> DataFrame:
+    """Candidates (u, v) among rows (x, mark): enough to join all sets whose fingerprints are within 3 bits.
+
+    Sets of one fingerprint meet its least set, and least sets meet along the links of the covering masks: no list of all pairs.
+    """
+    least = marks.groupBy("mark").agg(F.min("x").alias("least")).checkpoint()
+    equal = marks.join(least, "mark").where("x != least").select(F.col("least").alias("u"), F.col("x").alias("v"))
+    of = lambda c, x: least.select(F.col("mark").alias(c), F.col("least").alias(x))
+    links = near_links(least.select(F.col("mark").alias("x"))).withColumnsRenamed({"u": "one", "v": "two"})
+    across = links.join(of("one", "u"), "one").join(of("two", "v"), "two").select("u", "v")
+    return equal.union(across.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
+
+
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs (u, v) that are not joined yet."""
+    of = lambda c: roots.select(F.col("x").alias(c), F.col("root").alias(f"root_{c}"))
+    return pairs.join(of("u"), "u").join(of("v"), "v").where("root_u != root_v").select(*pairs.columns)
 
 
 def near_set_classes(docs: DataFrame, table: DataFrame, points: DataFrame) -> DataFrame:
     """(node, root) for every set key that is linked to another by chains of sets 0.8 alike.
 
-    First every set is compared with its pivots, by parity, and then with the nearest as a set: linear work, which joins a large
-    group of near copies. Pivots it is not joined to yet follow. Then all that share a pivot and are not joined yet are
-    compared, in tiles.
+    Sets that SimHash brings together are compared first. Every set is then compared with its pivots that it is not joined to, by
+    parity, and with the nearest as a set: linear work, as the first step, and both join a large group of near copies. Other pivots
+    it is not joined to yet follow. Then all that share a pivot and are not joined yet are compared, in tiles.
     """
     own = table.where("prefix is not null")
+    marks = own.groupBy("x").agg(F.min("n").alias("n"), F.min("mark").alias("mark")).checkpoint()
+    pairs = simhash_pairs(marks.select("x", "mark")).checkpoint()
+    # A set of a large group has many links; its first one mostly joins it, and the others need no text then.
+    first = pairs.groupBy("v").agg(F.min("u").alias("u")).select("u", "v").checkpoint()
+    links = _alike(docs, points, marks, first)
+    others = _apart(pairs.join(first, ["u", "v"], "left_anti"), _rooted(marks, links))
+    links = links.union(_alike(docs, points, marks, others.checkpoint()))
     found = own.select("x", F.explode("prefix").alias("s"))
     shared = found.groupBy("s").agg(F.min("x").alias("p"), F.count(F.lit(1)).alias("k")).where("k > 1").select("s", "p").checkpoint()
     members = _marked(own, shared).join(shared, "s").select("p", "x").distinct().checkpoint()
     keys = members.where("p != x").select(F.explode(F.array("p", "x")).alias("x")).distinct().checkpoint()
     prints = own.select("x", "n", F.col("parity").alias("payload")).join(_few(keys), "x", "left_semi").dropDuplicates(["x"]).checkpoint()
-    star = members.where("p != x").select(F.col("p").alias("u"), F.col("x").alias("v"))
+    sized = prints.select("x", "n", F.octet_length("payload").alias("bytes"))
+    roots = _rooted(sized, links)
+    star = _apart(members.where("p != x").select(F.col("p").alias("u"), F.col("x").alias("v")), roots)
     bits = lambda payload: np.frombuffer(payload.as_buffer(), dtype=np.uint64)
     near = _against_first(_with_payload(star, prints), bits, _parity_score).checkpoint()
-    roots = prints.select("x", "n")
     best = near.groupBy("v").agg(F.min(F.struct("score", "u")).alias("best")).select(F.col("best.u").alias("u"), "v").checkpoint()
-    links = _alike(docs, points, roots, best)
-    roots = _rooted(prints, links)
-    of = lambda c: roots.select(F.col("x").alias(c), F.col("root").alias(f"root_{c}"))
-    more = near.join(best, ["u", "v"], "left_anti").join(of("u"), "u").join(of("v"), "v").where("root_u != root_v")
+    links = links.union(_alike(docs, points, roots, best))
+    roots = _rooted(sized, links)
+    more = _apart(near.join(best, ["u", "v"], "left_anti"), roots)
     links = links.union(_alike(docs, points, roots, more.select("u", "v").checkpoint()))
-    roots = _rooted(prints, links)
+    roots = _rooted(sized, links)
     rooted = members.join(roots, "x")
     blocks = F.ceil(F.greatest(F.count(F.lit(1)) / TILE, F.sum("bytes") / TILE_BYTES)).cast("int")
     mixed = rooted.groupBy("p").agg(F.min("root").alias("a"), F.max("root").alias("b"), blocks.alias("blocks"))

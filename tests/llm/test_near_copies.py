@@ -102,3 +102,33 @@ def test_odd_rows(spark, odd_docs, no_docs):
         (False, 0), (False, 0), (True, 4), (True, 8), (True, 9), (True, 10)]
     assert {bool(r.text) for r in rows if r.doc_id is None} == {True, False}
     assert corpus_pipeline.near_dedup(spark, no_docs, "").collect() == []
+
+
+def _joined(values, links):
+    root = {v: v for v in values}
+    for a, b in links:
+        root = {v: root[b] if r == root[a] else r for v, r in root.items()}
+    return {frozenset(v for v in values if root[v] == r) for r in set(root.values())}
+
+
+def test_simhash_brings_together_all_within_three_bits(spark):
+    rng = np.random.default_rng(3)
+    rows, x = [], 0
+    for base in rng.integers(0, 1 << 63, 25):
+        for flips in (0, 0, 1, 2, 3, 5):
+            mark = int(base)
+            for bit in rng.choice(63, flips, replace=False):
+                mark ^= 1 << int(bit)
+            rows.append((x := x + 1, mark))
+    within = [(a, b) for a, one in rows for b, two in rows if a < b and (one ^ two).bit_count() <= 3]
+    found = [(r.u, r.v) for r in near.simhash_pairs(spark.createDataFrame(rows, "x long, mark long")).collect()]
+    keys = [x for x, _ in rows]
+    assert set(found) <= set(within) and _joined(keys, found) == _joined(keys, within)
+
+
+def test_dedup_compares_what_simhash_brings_together(spark, monkeypatch):
+    seen, plain = [], near.simhash_pairs
+    monkeypatch.setattr(near, "simhash_pairs", lambda marks: seen.append(plain(marks).count()) or plain(marks))
+    text = " ".join(f"w{k}" for k in range(2000))
+    rows = [(0, text), (1, text.replace("w1999", "other")), (2, " ".join(f"v{k}" for k in range(2000)))]
+    assert sorted(_kept(spark, rows)) == [0, 2] and seen == [1]
