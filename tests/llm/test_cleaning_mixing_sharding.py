@@ -7,8 +7,9 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 
-from marram.llm import cleaning, mixing, sharding
+from marram.llm import cleaning, mixing, sharding, tokens
 from marram.llm.tokens import GAP_CHARS
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -114,3 +115,16 @@ def test_hot_group_is_cut_and_even(spark):
 def test_pack_prefers_room():
     assert sorted(Counter(sharding.pack(np.ones((8, 3)), 4).tolist()).values()) == [2, 2, 2, 2]
     assert len(GAP_CHARS) == 6
+
+
+@pytest.mark.parametrize("stage", [mixing.mixed_documents, sharding.sharded_documents])
+def test_texts_are_counted_without_leaving_the_jvm(spark, docs, stage):
+    plan = stage(docs)._jdf.queryExecution().toString()
+    assert "MapInArrow" not in plan
+
+
+def test_counts_of_odd_texts(spark):
+    texts = [None, "", " \n\t", "a #b\x0b$$\x1cc d  ", "ß日本 🙂|", "\x00x <y>"]
+    rows = tokens.with_counts(spark.createDataFrame([(t,) for t in texts], "text string"), keep_text=False).collect()
+    want = [(len(re.findall(r"[^\x20\x09-\x0D]+", t or "")), sum(c in "#*$%&|<>" for c in t or ""), len((t or "").encode())) for t in texts]
+    assert [tuple(r) for r in rows] == want
