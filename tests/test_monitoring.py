@@ -115,3 +115,11 @@ def test_streaming_profile_drops_repeats_and_late_rows(spark, tmp_path):
         stream_daily_profile(profile, str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination()
     got = {(r.window_start.day, r.kind): (r.n, r.total) for r in read_daily_profile(spark, str(tmp_path / "out"), ["kind"]).collect()}
     assert got == {(1, "a"): (2, 3.0), (2, "b"): (1, 5.0), (9, "a"): (2, 16.0)}
+
+
+def test_trailing_windows_are_dealt_to_as_many_tasks_as_rows_ask_for(spark, monkeypatch):
+    rows = spark.range(2000).selectExpr("id", "'a' as s", "timestamp '2024-01-01' + make_interval(0, 0, 0, 0, 0, id) as t", "1.0 as v")
+    monkeypatch.setattr(timing, "ROWS_PER_TASK", 250)
+    found = timing.trailing_threshold(rows, row_id="id", series="s", time="t", value="v")
+    assert "hashpartitioning" in (plan := found._jdf.queryExecution().toString()) and ", 48)" in plan
+    assert found.where("mean = 1").count() == 4000
