@@ -106,8 +106,12 @@ def training_table(df: DataFrame, key: str, label: str, classes: int | None, *ke
 
 
 def fitted_rows(df: DataFrame, key: str, rows: int = TRAIN_ROWS) -> DataFrame:
-    """The rows that come first by digest of their key: the same ones on any cluster."""
-    return df.orderBy(seeded_md5(DEFAULT_SEED, quoted(key)), quoted(key)).limit(rows)
+    """The rows that come first by digest of their key: the same ones on any cluster.
+
+    They are written, so the table is read once, however many passes a fit, a split or a search takes over them.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.orderBy(seeded_md5(DEFAULT_SEED, quoted(key)), quoted(key)).limit(rows).checkpoint()
 
 
 def in_parallel(spark: SparkSession, calls: Iterable[Callable[[], object]], workers: int) -> list:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from marram.functions.features import encode_label
 from marram.operators import curves
-from marram.operators.forest import build_forest, training_table
+from marram.operators.forest import build_forest, fitted_rows, training_table
 from marram.operators.preprocess import preprocessing_pipeline
 from marram.operators.search import grid_search
 from marram.operators.splits import stratified_kfold, with_prefix_steps
@@ -107,3 +107,9 @@ def test_whole_run(spark, flowers, tmp_path, scaling):
     sample = spark.createDataFrame([(5.1, 3.5, 1.4, 0.2)], ", ".join(f"`{c}` double" for c in FLOWERS.features))
     guess = predict_sample(path, sample, FLOWERS.codes).first()
     assert guess.predicted_label == "setosa" and sum(guess.probability) == pytest.approx(1.0)
+
+
+def test_fitted_rows_are_read_once(spark, tmp_path):
+    spark.range(3000).selectExpr("id", "id % 3 as code").write.parquet(f"{tmp_path}/t")
+    rows = fitted_rows(spark.read.parquet(f"{tmp_path}/t"), "id")
+    assert "parquet" not in rows._jdf.queryExecution().toString().lower() and rows.count() == 1000
