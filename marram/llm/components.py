@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-from marram.session import ensure_checkpoint_dir
+from marram.session import cores, ensure_checkpoint_dir, in_few_tasks
 
 
-def _linked_to_least(edges: DataFrame, both_ways: bool) -> DataFrame:
+def _linked_to_least(edges: DataFrame, both_ways: bool, rows: int) -> DataFrame:
     """One star step on rows (u, v): every node's neighbours are linked to the least of them.
 
     The least neighbour is an aggregate, combined before the shuffle, and comes back by a join that splits
-    hot nodes. So a node with very many neighbours is never gathered anywhere.
+    hot nodes. So a node with very many neighbours is never gathered anywhere. `rows` is how many edges there are.
     """
     if both_ways:
         pairs = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -25,27 +25,35 @@ def _linked_to_least(edges: DataFrame, both_ways: bool) -> DataFrame:
     else:
         moved = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(
             least.select("u", F.col("m").alias("v")))
-    return moved.where(F.col("u") != F.col("v")).distinct()
+    return in_few_tasks(in_few_tasks(moved.where(F.col("u") != F.col("v")), rows).distinct(), rows)
+
+
+def _signs(edges: DataFrame) -> Row:
+    return edges.coalesce(cores(edges.sparkSession)).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")),
+        F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first()
 
 
 def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
     """(node, root) for every node that has an edge; the root is the least node of its component.
 
     Rounds go on until nothing moves, a number that grows with the logarithm of the longest chain. Each
-    round is written to the shared checkpoint folder, so lost executors cost one round at most. Null ends
-    and loops are not edges. No edges: an empty result.
+    round is written to the shared checkpoint folder, so lost executors cost one round at most; few edges are
+    written in few files, however wide a shuffle is. Null ends and loops are not edges. No edges: an empty result.
     """
     spark = edges.sparkSession
     ensure_checkpoint_dir(spark)
     now = edges.select(F.col(u).alias("u"), F.col(v).alias("v")).where("u is not null and v is not null and u != v")
     now = now.distinct().checkpoint()
-    state = None
-    while True:
-        now = _linked_to_least(_linked_to_least(now, both_ways=True), both_ways=False).checkpoint()
-        signs = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")),
-                        F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first()
-        if tuple(signs) == state:
+    state = _signs(now)
+    # Stars never have more edges than the graph, so all rounds go on in as many tasks as its edges ask for.
+    rows = state["rows"]
+    now = in_few_tasks(now, rows)
+    while rows:
+        now = _linked_to_least(_linked_to_least(now, True, rows), False, rows).checkpoint()
+        before, state = state, _signs(now)
+        if state == before:
             break
-        state = tuple(signs)
-    return now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(
-        now.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct()
+    nodes = now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(
+        now.select(F.col("v").alias("node"), F.col("v").alias("root")))
+    return in_few_tasks(nodes.distinct(), rows)

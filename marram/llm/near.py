@@ -28,7 +28,7 @@ from marram.llm.components import components
 from marram.llm.decontaminate import SHINGLE, expand, shingle_hashes
 from marram.llm.simhash import SEED, fingerprint_of, near_links, one_per_root
 from marram.llm.tokens import LOWER, chunks, find_words, hash_spans
-from marram.session import ensure_checkpoint_dir, shared_root
+from marram.session import count_written, ensure_checkpoint_dir, in_few_tasks, kept, shared_root
 
 # Texts looked at for frequent shingles: so many, or one in SAMPLE_SHARE of a large table; how many of them make one frequent;
 # and how many frequent ones are sent to every task (8 bytes each).
@@ -148,7 +148,8 @@ def _often(docs: DataFrame, n_docs: int) -> np.ndarray:
 
 def _few(keys: DataFrame) -> DataFrame:
     """Checkpointed keys, to be sent to the rows if they are few."""
-    return F.broadcast(keys) if keys.count() <= FEW_KEYS else keys
+    n = count_written(keys)
+    return F.broadcast(keys) if n <= FEW_KEYS else in_few_tasks(keys, n)
 
 
 def _sizes_allow(n1: int, n2: int) -> bool:
@@ -233,12 +234,13 @@ def _tile_pairs(rows: DataFrame) -> DataFrame:
     return laid.mapInArrow(run, "u long, v long").distinct()
 
 
-def _with_payload(pairs: DataFrame, payload: DataFrame) -> DataFrame:
+def _with_payload(pairs: DataFrame, payload: DataFrame, sets: int) -> DataFrame:
     """(u, part, first, x, …): for every u of pairs (u, v) a first row of its own, then one row per v, with the payload of x.
 
-    A crowded u is dealt out to parts, each with the first row, so a payload is sent once per pair and part.
+    A crowded u is dealt out to parts, each with the first row, so a payload is sent once per pair and part. `sets` is how many
+    sets there are, which bounds the different u.
     """
-    crowds = pairs.groupBy("u").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("parts"))
+    crowds = in_few_tasks(pairs.groupBy("u").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("parts")), sets)
     many = _few(crowds.where("parts > 1").checkpoint())
     parts = F.coalesce("parts", F.lit(1))
     others = pairs.join(many, "u", "left").select(
@@ -286,25 +288,30 @@ def _set_score(one: np.ndarray, two: np.ndarray, n: int) -> float | None:
     return same / (n - same) if same * 9 >= n * 4 else None
 
 
-def _alike(docs: DataFrame, points: DataFrame, roots: DataFrame, pairs: DataFrame) -> DataFrame:
+def _alike(docs: DataFrame, points: DataFrame, roots: DataFrame, pairs: DataFrame, sets: int) -> DataFrame:
     """The (checkpointed) pairs (u, v) whose sets share at least 0.8 of what either holds, checked shingle by shingle.
 
     One text per set is sent to each pair or, by way of u, to each group of pairs.
     """
     keys = pairs.select(F.explode(F.array("u", "v")).alias("x")).distinct()
-    owners = keys.join(points, "x").join(roots.select("x", "n"), "x").select(
+    owners = in_few_tasks(keys.join(points, "x").join(roots.select("x", "n"), "x"), sets).select(
         "x", "n", F.col("o.doc_id").alias("_owner"), F.col("o.row").alias("_row")).checkpoint()
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("payload"), F.xxhash64(*docs.columns).alias("_own"))
     texts = rows.join(_few(owners), F.col("doc_id").eqNullSafe(F.col("_owner")) & (F.col("_own") == F.col("_row"))).select(
         "x", "n", "payload")
     load = lambda text: next(shingle_sets(pa.array([text.as_py()], type=pa.large_string())))
-    return _against_first(_with_payload(pairs, texts), load, _set_score).select("u", "v").distinct().checkpoint()
+    return kept(_against_first(_with_payload(pairs, texts, sets), load, _set_score).select("u", "v").distinct())
 
 
-def _rooted(sets: DataFrame, links: DataFrame) -> DataFrame:
-    """The columns of every set, with its `root`."""
-    joined = components(links).withColumnRenamed("node", "x")
-    return sets.join(joined, "x", "left").withColumn("root", F.coalesce("root", "x")).checkpoint()
+def _rooted(rows: DataFrame, classes: DataFrame, sets: int) -> DataFrame:
+    """The columns of every set, with its `root` by classes (node, root)."""
+    joined = rows.join(classes.withColumnRenamed("node", "x"), "x", "left")
+    return in_few_tasks(joined.withColumn("root", F.coalesce("root", "x")), sets).checkpoint()
+
+
+def _joined(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, root) after links (u, v) between members of classes (node, root)."""
+    return kept(components(classes.select(F.col("node").alias("u"), F.col("root").alias("v")).union(links)))
 
 
 def simhash_pairs(marks: DataFrame) -> DataFrame:
@@ -333,41 +340,44 @@ def near_set_classes(docs: DataFrame, table: DataFrame, points: DataFrame) -> Da
     parity, and with the nearest as a set: linear work, as the first step, and both join a large group of near copies. Other pivots
     it is not joined to yet follow. Then all that share a pivot and are not joined yet are compared, in tiles.
     """
+    sets = count_written(points)
+    points = in_few_tasks(points, sets)
     own = table.where("prefix is not null")
-    marks = own.groupBy("x").agg(F.min("n").alias("n"), F.min("mark").alias("mark")).checkpoint()
-    pairs = simhash_pairs(marks.select("x", "mark")).checkpoint()
+    marks = in_few_tasks(own.groupBy("x").agg(F.min("n").alias("n"), F.min("mark").alias("mark")), sets).checkpoint()
+    pairs = kept(simhash_pairs(marks.select("x", "mark")))
     # A set of a large group has many links; its first one mostly joins it, and the others need no text then.
-    first = pairs.groupBy("v").agg(F.min("u").alias("u")).select("u", "v").checkpoint()
-    links = _alike(docs, points, marks, first)
-    others = _apart(pairs.join(first, ["u", "v"], "left_anti"), _rooted(marks, links))
-    links = links.union(_alike(docs, points, marks, others.checkpoint()))
+    first = in_few_tasks(pairs.groupBy("v").agg(F.min("u").alias("u")).select("u", "v"), sets).checkpoint()
+    classes = kept(components(_alike(docs, points, marks, first, sets)))
+    others = _apart(pairs.join(first, ["u", "v"], "left_anti"), _rooted(marks, classes, sets))
+    classes = _joined(classes, _alike(docs, points, marks, kept(others), sets))
     found = own.select("x", F.explode("prefix").alias("s"))
-    shared = found.groupBy("s").agg(F.min("x").alias("p"), F.count(F.lit(1)).alias("k")).where("k > 1").select("s", "p").checkpoint()
-    members = _marked(own, shared).join(shared, "s").select("p", "x").distinct().checkpoint()
-    keys = members.where("p != x").select(F.explode(F.array("p", "x")).alias("x")).distinct().checkpoint()
+    shared = kept(found.groupBy("s").agg(F.min("x").alias("p"), F.count(F.lit(1)).alias("k")).where("k > 1").select("s", "p"))
+    members = kept(_marked(own, shared).join(shared, "s").select("p", "x").distinct())
+    keys = members.where("p != x").select(F.explode(F.array("p", "x")).alias("x")).distinct()
+    keys = in_few_tasks(keys, sets).checkpoint()
     prints = own.select("x", "n", F.col("parity").alias("payload")).join(_few(keys), "x", "left_semi").dropDuplicates(["x"]).checkpoint()
     sized = prints.select("x", "n", F.octet_length("payload").alias("bytes"))
-    roots = _rooted(sized, links)
+    roots = _rooted(sized, classes, sets)
     star = _apart(members.where("p != x").select(F.col("p").alias("u"), F.col("x").alias("v")), roots)
     bits = lambda payload: np.frombuffer(payload.as_buffer(), dtype=np.uint64)
-    near = _against_first(_with_payload(star, prints), bits, _parity_score).checkpoint()
-    best = near.groupBy("v").agg(F.min(F.struct("score", "u")).alias("best")).select(F.col("best.u").alias("u"), "v").checkpoint()
-    links = links.union(_alike(docs, points, roots, best))
-    roots = _rooted(sized, links)
-    more = _apart(near.join(best, ["u", "v"], "left_anti"), roots)
-    links = links.union(_alike(docs, points, roots, more.select("u", "v").checkpoint()))
-    roots = _rooted(sized, links)
+    near = kept(_against_first(_with_payload(kept(star), prints, sets), bits, _parity_score))
+    best = near.groupBy("v").agg(F.min(F.struct("score", "u")).alias("best")).select(F.col("best.u").alias("u"), "v")
+    best = in_few_tasks(best, sets).checkpoint()
+    classes = _joined(classes, _alike(docs, points, roots, best, sets))
+    more = _apart(near.join(best, ["u", "v"], "left_anti"), _rooted(sized, classes, sets))
+    classes = _joined(classes, _alike(docs, points, roots, kept(more.select("u", "v")), sets))
+    roots = _rooted(sized, classes, sets)
     rooted = members.join(roots, "x")
     blocks = F.ceil(F.greatest(F.count(F.lit(1)) / TILE, F.sum("bytes") / TILE_BYTES)).cast("int")
     mixed = rooted.groupBy("p").agg(F.min("root").alias("a"), F.max("root").alias("b"), blocks.alias("blocks"))
-    mixed = mixed.where("a != b").select("p", "blocks").checkpoint()
+    mixed = in_few_tasks(mixed.where("a != b").select("p", "blocks"), sets).checkpoint()
     # Its pivot has met every set of a group already.
     open_ = rooted.where("p != x").join(_few(mixed), "p")
     placed = open_.withColumn("block", F.pmod(F.xxhash64("x", "p"), F.col("blocks")).cast("int"))
     tiles = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "p", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "x", "n", "root", "block")
-    rest = _tile_pairs(tiles.join(prints.select("x", F.col("payload").alias("parity")), "x")).checkpoint()
-    return components(links.union(_alike(docs, points, roots, rest)))
+    rest = kept(_tile_pairs(tiles.join(prints.select("x", F.col("payload").alias("parity")), "x")))
+    return _joined(classes, _alike(docs, points, roots, rest, sets))
 
 
 def without_near_copies(docs: DataFrame) -> DataFrame:
