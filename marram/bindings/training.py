@@ -147,7 +147,7 @@ def oob_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("train_evaluate", f"""
-    with s as ({_over(SPLIT_SQL, BOUNDED_SQL)}), t as (select count(*) as n from s where split = 'test'),
+    with s as ({_over(SPLIT_SQL, ALL_SQL)}), t as (select count(*) as n from s where split = 'test'),
     c as (select code, count(*) as n from s where split = 'test' group by 1)
     select 'best_params' as part, cast(4 as bigint) as n
     union all select 'candidates', 48 * 4 union all select 'cv_results', 48 union all select 'learning_curve', 5
@@ -155,9 +155,9 @@ def oob_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
     union all select 'auc', count(*) from c union all select 'support ' || code, n from c
 """)
 def train_evaluate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole job: split, 48 x 5 search, refit, curves, model; then the same rows judged again from the saved model."""
+    """The whole job over all rows: split, 48 x 5 search, refit, curves, model; then the same rows judged again from the saved model."""
     run = TrainEvaluate(key="vec_id", label="code", classes=CLASSES, root=scratch_path(spark, "train_evaluate", sf_dir), run_id="bench")
-    rows = fitted_rows(vectors(spark, sf_dir), "vec_id")
+    rows = vectors(spark, sf_dir)
     again = run.evaluate(spark, rows, run.train(rows))
     part = lambda side, name: spark.read.json(f"{run.folder}/{side}/{name}")
     sized = lambda name, df: df.agg(F.lit(name).alias("part"), F.count(F.lit(1)).alias("n"))

@@ -23,17 +23,19 @@ def unit_interval(seed: int, *keys: Column) -> Column:
     return F.conv(F.substring(seeded_md5(seed, *keys), 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
 
 
-def poisson_one(u: Column) -> Column:
-    """Poisson(1) count for a uniform `u`: how often a bootstrap bag draws the row.
-
-    The series is followed until a further term no longer moves the double.
-    """
+def poisson_steps() -> list[float]:
+    """Edges of the Poisson(1) counts in [0, 1). The series is followed until a further term no longer moves the double."""
     steps, term, total = [], math.exp(-1.0), 0.0
     while total + term != total:
         total += term
         steps.append(total)
         term /= len(steps)
+    return steps
+
+
+def poisson_one(u: Column) -> Column:
+    """Poisson(1) count for a uniform `u`: how often a bootstrap bag draws the row."""
     count = F.lit(0)
-    for edge in steps:
+    for edge in poisson_steps():
         count = count + (u >= F.lit(edge)).cast("int")
     return count

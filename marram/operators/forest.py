@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 
 from marram.functions.features import quoted
 from marram.functions.hashing import seeded_md5
+from marram.operators.growth import CodedRows, grown_trees
+from marram.operators.grown import GrownForestModel
 from marram.operators.splits import DEFAULT_SEED
-from marram.operators.trees import split_limited, with_folder
+from marram.operators.trees import Rule, split_limited, with_folder
 from marram.session import ensure_checkpoint_dir
 
 DEFAULT_TREES = 100  # fixed value: trees of an untuned forest
@@ -132,6 +134,18 @@ def fit_forest(train: DataFrame, params: Mapping[str, object], seed: int = DEFAU
     return with_folder(spark, lambda folder: split_limited(spark, model, split, folder))
 
 
+def rule_of(params: Mapping[str, object]) -> Rule:
+    settings = forest_settings(params)
+    return Rule(settings["numTrees"], settings["maxDepth"], least_split(params))
+
+
+def grow_forest(spark: SparkSession, rows: CodedRows, params: Mapping[str, object], seed: int = DEFAULT_SEED) -> GrownForestModel:
+    """A forest under search parameters, grown inside tasks on coded rows."""
+    ensure_checkpoint_dir(spark)
+    trees = grown_trees(spark, rows, rule_of(params), forest_settings(params)["minInstancesPerNode"], seed)
+    return GrownForestModel(trees, rows.classes)
+
+
 def add_predictions(df: DataFrame, models: list, prefix: str = "__p") -> DataFrame:
     """Predictions of many models side by side in one pass over the rows."""
     for i, model in enumerate(models):

@@ -13,10 +13,12 @@ from pyspark.sql import functions as F
 
 from marram.functions.text import strip_prefix
 from marram.operators.forest import (
-    DEFAULT_GRID, build_forest, fit_forest, forest_settings, in_parallel, least_split, param_grid,
+    DEFAULT_GRID, build_forest, fit_forest, forest_settings, grow_forest, in_parallel, param_grid, rule_of,
 )
+from marram.operators.growth import CodedRows, Fit, coded_rows, fits_in_tasks, judge
+from marram.operators.grown import GrownForestModel
 from marram.operators.splits import DEFAULT_SEED
-from marram.operators.trees import NodeArrays, Rule, hits_by_rule, node_table, saved, with_folder
+from marram.operators.trees import NodeArrays, hits_by_rule, node_table, saved, with_folder
 
 
 @dataclass
@@ -26,7 +28,7 @@ class SearchResult:
     results: DataFrame  # one row per candidate
     best_params: dict
     best_score: float
-    model: RandomForestClassificationModel | None
+    model: RandomForestClassificationModel | GrownForestModel | None
     n_fits: int
 
 
@@ -76,10 +78,12 @@ def grid_search(
     Candidates that differ only in trees, depth or least split are read off one forest, grown once per fold and least
     leaf with the most trees and the greatest depth among them; all are judged in one pass over the held-out rows.
     So there are folds x least leaves fits, side by side, and one more for the winner. Only scores reach the driver.
+
+    Trees are grown and judged inside tasks where these can hold the table, else by the library.
     """
     spark = prepared.sparkSession
     candidates = param_grid(grid or DEFAULT_GRID)
-    rules = [Rule(s["numTrees"], s["maxDepth"], least_split(c)) for s, c in zip(map(forest_settings, candidates), candidates)]
+    rules = [rule_of(c) for c in candidates]
     by_leaf: dict[int, list[int]] = {}
     for i, c in enumerate(candidates):
         by_leaf.setdefault(forest_settings(c)["minInstancesPerNode"], []).append(i)
@@ -96,9 +100,26 @@ def grid_search(
         found = hits_by_rule(held, nodes, [rules[i] for i in own])
         return [(i, fold, n, hits / n if n else None) for i, (n, hits) in zip(own, found)]
 
+    def judged_in_tasks(rows: CodedRows, calls: list[tuple[int, int]]) -> list[list[tuple[int, int, int, float | None]]]:
+        at = rows.more["fold"]
+        told = judge(spark, rows, [Fit(at != fold, at == fold, [rules[i] for i in by_leaf[leaf]], leaf) for fold, leaf in calls], seed)
+        return [[(i, fold, n, hits / n if n else None) for i, (_, _, n, hits) in zip(by_leaf[leaf], found)]
+                for (fold, leaf), found in zip(calls, told)]
+
+    whole = preprocess.fit(prepared).transform(prepared) if preprocess is not None else prepared
+    in_tasks = fits_in_tasks(whole)
+    coded = coded_rows(whole, fold=F.col("fold")) if in_tasks else None
     calls = [(fold, leaf) for fold in range(folds) for leaf in by_leaf]
-    got = with_folder(spark, lambda folder: in_parallel(
-        spark, [lambda f=f, m=m: judged(f, m, folder) for f, m in calls], parallelism))
+    if not in_tasks:
+        got = with_folder(spark, lambda folder: in_parallel(
+            spark, [lambda f=f, m=m: judged(f, m, folder) for f, m in calls], parallelism))
+    elif preprocess is None:
+        got = judged_in_tasks(coded, calls)
+    else:
+        got = []
+        for fold in range(folds):
+            own = preprocess.fit(prepared.where(F.col("fold") != fold)).transform(prepared)
+            got += judged_in_tasks(coded_rows(own, fold=F.col("fold")), [c for c in calls if c[0] == fold])
     rows = sorted(r for each in got for r in each)
     scores = spark.createDataFrame(rows, "candidate_id int, fold int, n_rows long, score double")
     named = parameter_table(spark.createDataFrame(
@@ -110,7 +131,6 @@ def grid_search(
     chosen = candidates[best.candidate_id]
     model = None
     if refit:
-        whole = preprocess.fit(prepared).transform(prepared) if preprocess is not None else prepared
-        model = fit_forest(whole, chosen, seed)
+        model = grow_forest(spark, coded, chosen, seed) if in_tasks else fit_forest(whole, chosen, seed)
     clean = {n.removeprefix("model__"): v for n, v in chosen.items()}
     return SearchResult(scores, named, results, clean, best.mean_test_score, model, len(calls) + refit)

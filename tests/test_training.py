@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from marram.bindings import ORACLES, QUERIES
 from marram.functions.features import encode_label
 from marram.operators import curves
 from marram.operators.forest import build_forest, fitted_rows, training_table
@@ -113,3 +114,13 @@ def test_fitted_rows_are_read_once(spark, tmp_path):
     spark.range(3000).selectExpr("id", "id % 3 as code").write.parquet(f"{tmp_path}/t")
     rows = fitted_rows(spark.read.parquet(f"{tmp_path}/t"), "id")
     assert "parquet" not in rows._jdf.queryExecution().toString().lower() and rows.count() == 1000
+
+
+def test_whole_job_takes_all_rows(spark, tmp_path):
+    rows = spark.range(1500).selectExpr("id as vec_id", "cast(id % 10 as int) as label", "cast(id % 10 + (id * 7919 % 100) / 60 as float) as x")
+    rows.selectExpr("vec_id", "array(x, -x, cast(vec_id % 13 as float), x * x) as embedding", "label").write.parquet(
+        f"{tmp_path}/embeddings.parquet")
+    found = {r.part: r.n for r in QUERIES["train_evaluate"](spark, str(tmp_path)).collect()}
+    assert found["held_out"] == 300 and found["changed"] == 0
+    assert [found[f"support {c}"] for c in range(10)] == [30] * 10
+    assert "limit" not in ORACLES["train_evaluate"]
